@@ -6,14 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import op6_mixing, op7_exact_dedup
 from .op1_minhash import op1_minhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_minhash,)}
+    return {f.__name__: f for f in (op1_minhash, op6_mixing.op6_mixing, op7_exact_dedup.op7_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_mixing": op6_mixing.SQL, "op7_exact_dedup": op7_exact_dedup.SQL}
