@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import op6_mixing, op7_exact_dedup
 from .op1_minhash import op1_minhash
+from .op2_packing import op2_packing
+from .op5_tokens import op5_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_minhash, op6_mixing.op6_mixing, op7_exact_dedup.op7_exact_dedup)}
+    return {f.__name__: f for f in (op1_minhash, op2_packing, op5_tokens, op6_mixing.op6_mixing, op7_exact_dedup.op7_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
