@@ -10,12 +10,14 @@ from . import op6_mixing, op7_exact_dedup
 from .op1_minhash import op1_minhash
 from .op2_packing import op2_packing
 from .op5_tokens import op5_tokens
+from .op8_ann import op8_ann
+from .op9_licenses import op9_licenses
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_minhash, op2_packing, op5_tokens, op6_mixing.op6_mixing, op7_exact_dedup.op7_exact_dedup)}
+    return {f.__name__: f for f in (op1_minhash, op2_packing, op5_tokens, op6_mixing.op6_mixing, op7_exact_dedup.op7_exact_dedup, op8_ann, op9_licenses)}
 
 
 def oracle_sql() -> dict[str, str]:
