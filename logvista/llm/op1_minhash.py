@@ -5,8 +5,9 @@ second gives coordinate k after the scattered values were shifted round the ring
 minimum per coordinate yields the signature, without a family of K hash functions.
 
 Bands of the signature propose pairs; each pair is settled on the full shingle sets. A bucket is never expanded into all
-its pairs: its members are first compared with one pivot, then only members that ended in different components are
-compared with each other.
+its pairs: its members are first compared with two pivots, then only members that ended in different components are
+compared with each other. Before texts are fetched for a pair, set sizes and one bit of each coordinate have to allow the
+similarity, with a margin of ``MARGIN`` deviations.
 """
 
 from __future__ import annotations
@@ -24,8 +25,10 @@ from . import textbytes as tb
 from .components import connected_components
 from .shared import SLICE_BYTES, Workspace, free_name, read_table
 
-#: Bands and rows of each: a pair at similarity 0.8 is missed with probability (1 - 0.8^5)^48, which is 5e-9.
-BANDS, ROWS = 48, 5
+#: Bands and rows of each: a pair at similarity 0.8 is missed with probability (1 - 0.8^7)^64, which is 3e-7.
+BANDS, ROWS = 64, 7
+#: Deviations by which a pair's estimate may fall short: passed by a pair at the threshold but for 2 in 100 million.
+MARGIN = 5.5
 
 
 def signatures(shingle_hashes: np.ndarray, bounds: np.ndarray, n: int) -> np.ndarray:
@@ -56,6 +59,12 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out
 
 
+def low_bits(signature: np.ndarray) -> np.ndarray:
+    """(texts, longs): the lowest bit of every coordinate, in 64-bit words, the last one filled up with zeros."""
+    packed = np.packbits((signature & 1).astype(np.uint8).T, axis=1)
+    return np.ascontiguousarray(np.pad(packed, ((0, 0), (0, -packed.shape[1] % 8)))).view(np.int64)
+
+
 def distinct_sorted(h: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     return [np.unique(h[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
@@ -69,15 +78,17 @@ def _sketch(id_col: str, text_col: str, k: int, bands: int, rows: int):
                 h, own = tb.shingles(words, per_text, k)
                 n = np.array([len(x) for x in distinct_sorted(h, own)], np.int64)
                 keys = np.zeros((to - at, bands), np.int64)
+                bits = np.zeros((to - at, -(-bands * rows // 64)), np.int64)
                 if (some := n > 0).any():
-                    keys[some] = band_keys(signatures(h, np.append(own[:-1][some], len(h)), bands * rows), bands, rows)
+                    signature = signatures(h, np.append(own[:-1][some], len(h)), bands * rows)
+                    keys[some], bits[some] = band_keys(signature, bands, rows), low_bits(signature)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(id_col).slice(at, to - at), pa.array(n),
                         pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)),
-                        pa.ListArray.from_arrays(np.arange(0, keys.size + 1, bands, dtype=np.int32), pa.array(keys.ravel())),
+                        *(pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), pa.array(x.ravel())) for x in (keys, bits)),
                     ],
-                    names=["id", "n", "s1", "s2", "bands"],
+                    names=["id", "n", "s1", "s2", "bands", "bits"],
                 )
 
     return run
@@ -125,21 +136,35 @@ def near_duplicates(
     pair_schema = "a long, b long"
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     sketch = work.keep(
-        own.mapInArrow(_sketch("id", "text", k, bands, rows), "id long, n long, s1 long, s2 long, bands array<long>"), "sketch"
+        own.mapInArrow(_sketch("id", "text", k, bands, rows), "id long, n long, s1 long, s2 long, bands array<long>, bits array<long>"), "sketch"
     )
     full = sketch.where("n > 0 and id is not null")
     first = full.groupBy("s1", "s2").agg(F.min("id").alias("rep"))
-    members = work.keep(sketch.select("id", "n", "s1", "s2").join(first, ["s1", "s2"], "left")
-                        .select("id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("rep")).alias("rep")), "members")
-    reps = members.where("id = rep").select("rep").distinct()
-    rows_ = full.select("id", F.explode("bands").alias("key")).join(reps.withColumnRenamed("rep", "id"), "id", "left_semi").distinct()
-    rows_ = work.keep(rows_, "rows")
-    shared = rows_.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last")
-    shared = work.keep(rows_.join(shared.select("key", "pivot"), "key"), "buckets")  # buckets of several texts only
-    work.drop(rows_, sketch)
-
-    pairs = work.keep(shared.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-    needed = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    placed = sketch.join(first, ["s1", "s2"], "left")
+    rep = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("rep"))
+    first_ = F.col("id") == rep
+    placed = work.keep(placed.select("id", "n", rep.alias("rep"), F.when(first_, F.col("bands")).alias("bands"), F.when(first_, F.col("bits")).alias("bits")), "members")
+    members = placed.select("id", "n", "rep")
+    work.drop(sketch)
+    texts_of = placed.where("bands is not null")
+    rows_ = texts_of.select("id", F.explode("bands").alias("key"))
+    shared = rows_.groupBy("key").agg(F.min("id").alias("p0"), F.max("id").alias("p1")).where("p0 < p1")
+    shared = work.keep(rows_.join(shared, "key"), "buckets")  # buckets of several texts only
+
+    k_bits = bands * rows
+    agree = percent / 100 + (1 - percent / 100) / 2
+    differ = int(k_bits * (1 - agree + MARGIN * math.sqrt(agree * (1 - agree) / k_bits)))
+
+    def side(x: str) -> DataFrame:
+        return texts_of.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
+
+    def possible() -> F.Column:
+        sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+        return sizes & (sum(F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(-(-k_bits // 64))) <= differ)
+
+    pairs = shared.select("id", F.explode(F.array("p0", "p1")).alias("p")).where("id <> p").select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b"))
+    pairs = work.keep(pairs.distinct().join(side("b"), "b").join(side("a"), "a").where(possible()).select("a", "b"), "pairs")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     texts = work.keep(own.join(needed, "id", "left_semi").dropDuplicates(["id"]), "texts")
 
     def settled(p: DataFrame, name: str) -> DataFrame:
@@ -153,9 +178,10 @@ def near_duplicates(
     placed = shared.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     open_ = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
     placed = work.keep(placed.join(open_, "key", "left_semi"), "open")
-    left = placed.select("key", F.col("id").alias("a"), F.col("root").alias("ra"))
-    right = placed.select("key", F.col("id").alias("b"), F.col("root").alias("rb"))
-    rest = left.join(right, "key").where("a < b and ra <> rb").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    left = placed.select("key", F.col("id").alias("a"), F.col("root").alias("ra")).join(side("a"), "a")
+    right = placed.select("key", F.col("id").alias("b"), F.col("root").alias("rb")).join(side("b"), "b")
+    rest = left.join(right, (left["key"] == right["key"]) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & possible())
+    rest = rest.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
     more = settled(rest, "more")
     roots2 = connected_components(links.union(more), work)
     out = members.join(roots2.withColumnRenamed("node", "rep"), "rep", "left")
