@@ -25,10 +25,13 @@ def normalized(text) -> F.Column:
 
 
 def frequent(digests: DataFrame, column: str, winners: int = WINNERS, counters: int = COUNTERS) -> DataFrame:
-    """At most ``winners`` rows (column): candidates for the most frequent values. Summaries of tasks are merged in two steps."""
+    """At most ``winners`` rows (column): candidates for the most frequent values. Summaries of tasks are merged in two steps.
+
+    The last step is grouped too, since a summary without values, as a task without rows would make one, can't be merged.
+    """
     part = digests.groupBy(F.pmod(F.spark_partition_id(), F.lit(FAN_IN)).alias("part_"))
     sketches = part.agg(F.expr(f"approx_top_k_accumulate({column}, {counters})").alias("s"))
-    top = sketches.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {counters}), {winners})").alias("top"))
+    top = sketches.groupBy(F.lit(0).alias("all_")).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {counters}), {winners})").alias("top"))
     return top.select(F.explode("top").alias("x")).select(F.col("x.item").alias(column))
 
 
