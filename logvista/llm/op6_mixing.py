@@ -62,7 +62,7 @@ def plan_mix(
         .select("source", "source_size", "target", "whole", "need")
     )
     plan = work.keep(plan, "sources")
-    bucket = F.substring("key", 1, 4)
+    bucket = F.substring("key", 1, 3)
     totals = rows.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("s"))
     totals = totals.withColumn("base", F.sum("s").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("s"))
     same = lambda a, b: a["source"].eqNullSafe(b["source"])
@@ -81,7 +81,7 @@ def mix_plan(mix: Mix) -> DataFrame:
     """One row a row: (id, source, size, source_size, target, repetitions)."""
     plan = broadcast_if_small(mix.plan, FEW)
     rows = mix.rows.join(plan, mix.rows["source"].eqNullSafe(plan["source"])).drop(plan["source"])
-    bucket = F.substring("key", 1, 4)
+    bucket = F.substring("key", 1, 3)
     outside = rows.where(F.col("cut").isNull() | (bucket != F.col("cut")))
     outside = outside.withColumn("extra", F.coalesce(bucket < F.col("cut"), F.lit(False)).cast("long"))
     inside = mix.cut.join(plan, mix.cut["source"].eqNullSafe(plan["source"])).drop(plan["source"])
@@ -101,7 +101,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     own = own.join(plan, F.col(f"{here}.source").eqNullSafe(F.col("plan_.source")))
     cut = broadcast_if_small(mix.cut.groupBy(F.col("id").alias("cut_id"), F.col("size").alias("cut_size")).agg(F.max("extra").alias("cut_extra")), FEW)
     own = own.join(cut, F.col(f"{here}.id").eqNullSafe(F.col("cut_id")) & (F.col(f"{here}.size") == F.col("cut_size")), "left")
-    early = F.substring(F.col(f"{here}.key"), 1, 4) < F.col("plan_.cut")
+    early = F.substring(F.col(f"{here}.key"), 1, 3) < F.col("plan_.cut")
     times = F.col("plan_.whole") + F.coalesce("cut_extra", early.cast("long"), F.lit(0))
     return own.select(docs["*"], F.explode(F.array_repeat(F.lit(0), times.cast("int"))).alias("again_")).drop("again_")
 
