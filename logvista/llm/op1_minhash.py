@@ -6,8 +6,9 @@ minimum per coordinate yields the signature, without a family of K hash function
 
 Bands of the signature propose pairs; each pair is settled on the full shingle sets. A bucket is never expanded into all
 its pairs: its members are first compared with two pivots, then only members that ended in different components are
-compared with each other. Before texts are fetched for a pair, set sizes and one bit of each coordinate have to allow the
-similarity, with a margin of ``MARGIN`` deviations.
+compared with each other. Before a pair is made, set sizes and one bit of each coordinate have to allow the similarity, with
+a margin of ``MARGIN`` deviations; in the second round that is done with ``FINE`` coordinates, and in the first bucket that
+the two share.
 """
 
 from __future__ import annotations
@@ -29,6 +30,10 @@ from .shared import SLICE_BYTES, Workspace, free_name, read_table
 BANDS, ROWS = 64, 7
 #: Deviations by which a pair's estimate may fall short: passed by a pair at the threshold but for 2 in 100 million.
 MARGIN = 5.5
+#: Coordinates of which a bit is kept for the second round.
+FINE = 4096
+#: Bits of the map that keeps most texts which no pair needs from being shuffled, at most: 8 MB, whatever the corpus.
+MAP_BITS = 1 << 26
 
 
 def signatures(shingle_hashes: np.ndarray, bounds: np.ndarray, n: int) -> np.ndarray:
@@ -94,6 +99,49 @@ def _sketch(id_col: str, text_col: str, k: int, bands: int, rows: int):
     return run
 
 
+def _fine(k: int):
+    """Of rows (id, text), (id, text, fine): a bit of each of ``FINE`` coordinates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, to, data, bounds in tb.slices(batch, "text", SLICE_BYTES):
+                h, own = tb.shingles(*tb.word_hashes(data, bounds), k)
+                bits = low_bits(signatures(h, own, FINE))  # texts of pairs have shingles
+                lists = pa.ListArray.from_arrays(np.arange(0, bits.size + 1, bits.shape[1], dtype=np.int32), pa.array(bits.ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(at, to - at), batch.column("text").slice(at, to - at), lists], names=["id", "text", "fine"])
+
+    return run
+
+
+def most_differing(percent: int, n: int) -> int:
+    """Differing bits of n that a pair at the threshold exceeds with the probability of ``MARGIN`` deviations."""
+    agree = (1 + percent / 100) / 2
+    return int(n * (1 - agree + MARGIN * math.sqrt(agree * (1 - agree) / n)))
+
+
+def near_enough(bits: str, n: int, percent: int) -> F.Column:
+    """Whether sizes (n_a, n_b) and sketches (``bits``_a, ``bits``_b) allow two sets to be similar enough."""
+    sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    differ = F.lit(0)
+    for i in range(-(-n // 64)):
+        differ = differ + F.bit_count(F.col(f"{bits}_a")[i].bitwiseXOR(F.col(f"{bits}_b")[i]))
+    return sizes & (differ <= most_differing(percent, n))
+
+
+def likely(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose id may be among ``wanted``: all that are, and few others while ``wanted`` is not much larger than the map.
+
+    The map of hashed ids is broadcast in pieces of 4 KB; MAP_BITS bounds it.
+    """
+    bits = min(MAP_BITS, max(1 << 15, 1 << (16 * wanted.count()).bit_length()))
+    place = F.pmod(F.xxhash64("id"), F.lit(bits)) + 1
+    maps = wanted.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("map"))
+    bit = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("map", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    met = rows.join(F.broadcast(maps), F.bitmap_bucket_number(place) == F.col("piece"))
+    return met.where(F.getbit(byte, (bit % 8).cast("int")) == 1).select(*rows.columns)
+
+
 def _settle(k: int, numerator: int, denominator: int):
     """Of rows (a, b, text_a, text_b), the pairs whose full sets are similar enough."""
 
@@ -151,21 +199,14 @@ def near_duplicates(
     shared = rows_.groupBy("key").agg(F.min("id").alias("p0"), F.max("id").alias("p1")).where("p0 < p1")
     shared = work.keep(rows_.join(shared, "key"), "buckets")  # buckets of several texts only
 
-    k_bits = bands * rows
-    agree = percent / 100 + (1 - percent / 100) / 2
-    differ = int(k_bits * (1 - agree + MARGIN * math.sqrt(agree * (1 - agree) / k_bits)))
-
     def side(x: str) -> DataFrame:
         return texts_of.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
 
-    def possible() -> F.Column:
-        sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-        return sizes & (sum(F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(-(-k_bits // 64))) <= differ)
-
     pairs = shared.select("id", F.explode(F.array("p0", "p1")).alias("p")).where("id <> p").select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b"))
-    pairs = work.keep(pairs.distinct().join(side("b"), "b").join(side("a"), "a").where(possible()).select("a", "b"), "pairs")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id"))
-    texts = work.keep(own.join(needed, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    pairs = work.keep(pairs.distinct().join(side("b"), "b").join(side("a"), "a").where(near_enough("bits", bands * rows, percent)).select("a", "b"), "pairs")
+    needed = shared.select("id")
+    texts = likely(own, needed).join(needed, "id", "left_semi").dropDuplicates(["id"])
+    texts = work.keep(texts.mapInArrow(_fine(k), "id long, text string, fine array<long>"), "texts")
 
     def settled(p: DataFrame, name: str) -> DataFrame:
         two = p.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
@@ -177,11 +218,14 @@ def near_duplicates(
     # Members of a bucket that are not yet connected: each with every member of another component, once in all buckets.
     placed = shared.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     open_ = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
-    placed = work.keep(placed.join(open_, "key", "left_semi"), "open")
-    left = placed.select("key", F.col("id").alias("a"), F.col("root").alias("ra")).join(side("a"), "a")
-    right = placed.select("key", F.col("id").alias("b"), F.col("root").alias("rb")).join(side("b"), "b")
-    rest = left.join(right, (left["key"] == right["key"]) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & possible())
-    rest = rest.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    about = texts_of.select("id", "n", F.transform("bands", lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("marks"), "bands")
+    placed = placed.join(open_, "key", "left_semi").join(about, "id").withColumn("nth", F.array_position("bands", F.col("key"))).drop("bands")
+    placed = work.keep(placed.join(texts.select("id", "fine"), "id"), "open")
+    left, right = (placed.select("key", "nth", *(F.col(c).alias(f"{c}_{x}") for c in ("id", "root", "n", "marks", "fine"))) for x in "ab")
+    first_shared = F.array_position(F.zip_with("marks_a", "marks_b", lambda x, y: x == y), True) == left["nth"]
+    apart = (left["key"] == right["key"]) & (F.col("id_a") < F.col("id_b")) & (F.col("root_a") != F.col("root_b"))
+    rest = left.join(right, apart & near_enough("fine", FINE, percent) & first_shared)
+    rest = rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).join(pairs, ["a", "b"], "left_anti")
     more = settled(rest, "more")
     roots2 = connected_components(links.union(more), work)
     out = members.join(roots2.withColumnRenamed("node", "rep"), "rep", "left")
