@@ -11,9 +11,17 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import detect_ip_version, event_status
 
-ITEM = T.StructType.fromDDL(
-    "id struct<time:string,uniqueQualifier:string>, actor struct<email:string>, ipAddress string, networkInfo struct<regionCode:string,subdivisionCode:string>, "
-    "events array<struct<name:string,parameters:array<struct<name:string,value:string,boolValue:boolean,intValue:string,multiValue:array<string>,multiStrValue:array<string>>>>>"
+
+
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in fields.items()])
+
+
+_S = T.StringType()
+_PARAMETER = _struct(name=_S, value=_S, boolValue=T.BooleanType(), intValue=_S, multiValue=T.ArrayType(_S), multiStrValue=T.ArrayType(_S))
+ITEM = _struct(
+    id=_struct(time=_S, uniqueQualifier=_S), actor=_struct(email=_S), ipAddress=_S, networkInfo=_struct(regionCode=_S, subdivisionCode=_S),
+    events=T.ArrayType(_struct(name=_S, parameters=T.ArrayType(_PARAMETER))),
 )
 GEO = "ip string, country string, region string, city string, continent string, latitude double, longitude double"
 
@@ -37,7 +45,7 @@ def flatten(items: DataFrame, geo: DataFrame | None = None) -> DataFrame:
     The first event name that is not null names the record; of parameters with one name the last counts. Where the
     provider tells a country or subdivision it wins over ``geo`` (GEO, a row an address), which fills the rest.
     """
-    all_ = F.flatten(F.transform(F.col("events"), lambda e: F.coalesce(e["parameters"], F.array().cast(ITEM["events"].dataType.elementType["parameters"].dataType))))
+    all_ = F.flatten(F.transform(F.col("events"), lambda e: F.coalesce(e["parameters"], F.array().cast(T.ArrayType(_PARAMETER)))))
 
     def last(name: str) -> Column:
         found = F.filter(all_, lambda p: p["name"] == name)
