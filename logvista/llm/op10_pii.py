@@ -225,10 +225,10 @@ def replace_private(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_co
     mentions = work.keep(own.mapInArrow(_detect, "id long, kind string, entity string"), "mentions")
     entities = work.keep(mentions.select("kind", "entity").distinct(), "entities")
     again = settle(entities, key, work).where("attempt > 0").select("kind", "entity", "attempt")
-    extra, n_col, kinds_col = free_name(docs, "exceptions"), free_name(docs, "n_entities"), free_name(docs, "entity_types")
-    each = mentions.join(again, ["kind", "entity"]).groupBy(F.col("id").alias("x_id")).agg(F.collect_set(F.struct("kind", "entity", "attempt")).alias(extra))
+    extra, of, n_col, kinds_col = (free_name(docs, n) for n in ("exceptions", "exceptions_of", "n_entities", "entity_types"))
+    each = mentions.join(again, ["kind", "entity"]).groupBy(F.col("id").alias(of)).agg(F.collect_set(F.struct("kind", "entity", "attempt")).alias(extra))
     each = broadcast_if_small(work.keep(each, "exceptions"), FEW)
-    joined = docs.withColumn(text_col, F.col(text_col).cast("string")).join(each, F.col(id_col).cast("long").eqNullSafe(F.col("x_id")), "left").drop("x_id")
+    joined = docs.withColumn(text_col, F.col(text_col).cast("string")).join(each, F.col(id_col).cast("long").eqNullSafe(F.col(of)), "left").drop(of)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields if f.name != extra)
     return joined.mapInArrow(_replace(text_col, extra, n_col, kinds_col, key), f"{schema}, `{n_col}` int, `{kinds_col}` string")
 

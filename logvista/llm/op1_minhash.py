@@ -238,8 +238,9 @@ def near_duplicates(
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs``, with all their columns, that ``near_duplicates`` keeps: one text of each component."""
-    found = near_duplicates(docs, id_col, **options).where("not kept").select(F.col(id_col).alias("gone_")).distinct()
-    return docs.join(found, F.col(id_col) == F.col("gone_"), "left_anti")
+    gone = free_name(docs, "gone")
+    found = near_duplicates(docs, id_col, **options).where("not kept").select(F.col(id_col).alias(gone)).distinct()
+    return docs.join(found, F.col(id_col).cast("long") == F.col(gone), "left_anti")
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

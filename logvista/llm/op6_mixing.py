@@ -95,15 +95,16 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     Rows without words are taken as often as their source is taken whole. The texts are not shuffled.
     """
     mix = plan_mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, seed=seed, **options)
-    here = free_name(docs, "mix")
+    here, of, at, again = (free_name(docs, n) for n in ("mix", "mix_plan", "mix_cut", "mix_again"))
     own = docs.withColumn(here, F.struct(*_keyed(docs, id_col, text_col, source_col, seed)))
-    plan = broadcast_if_small(mix.plan.select(F.struct("*").alias("plan_")), FEW)
-    own = own.join(plan, F.col(f"{here}.source").eqNullSafe(F.col("plan_.source")))
-    cut = broadcast_if_small(mix.cut.groupBy(F.col("id").alias("cut_id"), F.col("size").alias("cut_size")).agg(F.max("extra").alias("cut_extra")), FEW)
-    own = own.join(cut, F.col(f"{here}.id").eqNullSafe(F.col("cut_id")) & (F.col(f"{here}.size") == F.col("cut_size")), "left")
-    early = F.substring(F.col(f"{here}.key"), 1, 3) < F.col("plan_.cut")
-    times = F.col("plan_.whole") + F.coalesce("cut_extra", early.cast("long"), F.lit(0))
-    return own.select(docs["*"], F.explode(F.array_repeat(F.lit(0), times.cast("int"))).alias("again_")).drop("again_")
+    plan = broadcast_if_small(mix.plan.select(F.struct("*").alias(of)), FEW)
+    own = own.join(plan, F.col(f"{here}.source").eqNullSafe(F.col(f"{of}.source")))
+    cut = mix.cut.groupBy("id", "size").agg(F.max("extra").alias("extra")).select(F.struct("*").alias(at))
+    cut = broadcast_if_small(cut, FEW)
+    own = own.join(cut, F.col(f"{here}.id").eqNullSafe(F.col(f"{at}.id")) & (F.col(f"{here}.size") == F.col(f"{at}.size")), "left")
+    early = F.substring(F.col(f"{here}.key"), 1, 3) < F.col(f"{of}.cut")
+    times = F.col(f"{of}.whole") + F.coalesce(F.col(f"{at}.extra"), early.cast("long"), F.lit(0))
+    return own.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), times.cast("int"))).alias(again)).drop(again)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

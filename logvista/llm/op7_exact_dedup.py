@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import Workspace, read_table
+from .shared import Workspace, free_name, read_table
 
 #: Winners at most, and counters of each summary: every digest with more than about 1/700 of a task's rows is kept in it.
 WINNERS, COUNTERS, FAN_IN = 128, 1024, 64
@@ -60,9 +60,10 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose id ``exact_duplicates`` keeps."""
-    kept = exact_duplicates(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("kept_")).distinct()
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("kept_")), "left_semi")
+    """The rows of ``docs``, with all their columns, whose id ``exact_duplicates`` keeps; rows repeated under a kept id all stay."""
+    here = free_name(docs, "stays")
+    kept = exact_duplicates(docs, id_col, text_col).where("kept").select(F.col(id_col).alias(here)).distinct()
+    return docs.join(kept, F.col(id_col).eqNullSafe(F.col(here)), "left_semi")
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
