@@ -77,7 +77,8 @@ def _blocks(most: int):
 
 def cosines(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Cosine of one vector with each row, in double precision; equal rows get equal results wherever they stand."""
-    dot, norms = (x * q).sum(axis=1), np.sqrt((x * x).sum(axis=1)) * np.sqrt((q * q).sum())
+    with np.errstate(over="ignore", invalid="ignore"):
+        dot, norms = (x * q).sum(axis=1), np.sqrt((x * x).sum(axis=1)) * np.sqrt((q * q).sum())
     if not np.isfinite(dot).all() or not np.isfinite(norms).all() or not norms.all():
         x, q = x / np.abs(x).max(axis=1, keepdims=True), q / np.abs(q).max()
         dot, norms = (x * q).sum(axis=1), np.sqrt((x * x).sum(axis=1)) * np.sqrt((q * q).sum())
