@@ -106,9 +106,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", own: t
     index = F.broadcast(work.keep(index, "index"))  # a row a template word
 
     hits = rows.select("row", F.explode("hits").alias("h")).select("row", "h.pos", "h.word")
-    met = hits.join(index, "word").withColumn("start", F.col("pos") - F.col("offset"))
-    proposed = met.where("anchor").select("row", "template", "start")
-    filled = met.join(proposed, ["row", "template", "start"], "left_semi").groupBy("row", "template", "start").agg(
+    proposed = hits.join(index.where("anchor").select("word", "template", "offset"), "word").select("row", "template", (F.col("pos") - F.col("offset")).alias("start"))
+    places = proposed.join(index, "template").withColumn("pos", F.col("start") + F.col("offset"))  # what each alignment has to find
+    filled = places.join(hits, ["row", "pos", "word"]).groupBy("row", "template", "start").agg(
         F.first("label").alias("label"), F.first("base").alias("base"), F.sum(F.col("must").cast("long")).alias("have"), F.first("musts").alias("musts"),
         F.least(F.sum("idf") / F.first("whole"), F.lit(1.0)).alias("share"),
     )
