@@ -127,6 +127,11 @@ def profile(prior: Column) -> Column:
     return F.when(prior == 0, "0").when(prior < 10, "1-9").when(prior >= 10, ">=10")
 
 
+def geo_jump(country_changed: Column, continent_changed: Column) -> Column:
+    """Changes of country and continent together, 0 to 2."""
+    return country_changed + continent_changed
+
+
 def min_max(x: Column, low: Column, high: Column) -> Column:
     """Scaled to [0, 1] by a range found elsewhere, clipped."""
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), (x - low) / (high - low + F.lit(1e-9))))

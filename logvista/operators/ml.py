@@ -22,6 +22,11 @@ def drop_gaps(df: DataFrame, columns: list[str], label: str) -> tuple[DataFrame,
     return df.where(known), r.asDict()
 
 
+def before(df: DataFrame, time: str, cutoff: str) -> DataFrame:
+    """Events before the evaluation ends."""
+    return df.where(F.col(time) < F.lit(cutoff).cast("timestamp"))
+
+
 def top_values(train: DataFrame, column: str, k: int = 10) -> list[str]:
     return [r[column] for r in top_k(train, column, k).collect()]  # k rows
 

@@ -139,3 +139,19 @@ def minimum(df: DataFrame, rows: int, columns: int) -> list[str]:
 def peers_backwards(df: DataFrame, s: Sequence | None = None, hour: str = "event_time_hour_utc") -> int:
     s = s or Sequence()
     return df.withColumn("b_", s.backwards(hour)).where("b_").count()
+
+
+def missingness_differs(df: DataFrame, stated: dict[str, int]) -> dict[str, tuple[int, int | None]]:
+    """Columns whose number of nulls is not the stated one: (found, stated)."""
+    found = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in df.columns)).first().asDict()
+    return {c: (n, stated.get(c)) for c, n in found.items() if stated.get(c) != n}
+
+
+def report(restricted: DataFrame, public: DataFrame, expected: list[str]) -> dict:
+    """All checks of a release in one document; every number but the counts should be 0 and every list empty."""
+    again = recompute(restricted).drop("actor_pseudo_id")
+    return {
+        "rows": restricted.count(), "schema": schema_errors(public, expected), "invariants": invariants(restricted), "public_differs": differs(public, restricted, "event_id"),
+        "recomputed_differs": differs(again, restricted, "event_id"), "hours_backwards": peers_backwards(restricted), "windows_collapsed": collapse_guard(restricted),
+        "non_null": nonnull_counts(restricted).first().asDict(),
+    }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from logvista.functions import identity as I
 from logvista.operators import sampling as P
 from logvista.operators import validate as V
+from logvista.plans import analysis as A
 from logvista.plans import release as R
 from logvista.plans.process import process
 from logvista.plans.schema import FORBIDDEN_PUBLIC, LEGACY_20, LEGACY_35, PUBLIC_42, RAW, RESTRICTED_50
@@ -102,6 +103,11 @@ def test_institutions(spark, tmp_path):
     assert json.loads((tmp_path / "m.json").read_text())["users"] == 2
     with pytest.raises(ValueError):
         C.read_release(spark, str(part), RESTRICTED_50)
+    stats = A.analyse(p.public, str(tmp_path / "tables"))
+    assert stats["events"] == "2" and stats["singletons"] == 2 and {x.name for x in (tmp_path / "tables").iterdir()} == {*A.tables(p.public), "statistics.json"}
+    doc = V.report(p.restricted, p.public, PUBLIC_42.names)
+    assert not doc["schema"] and not any(doc["invariants"].values()) and doc["public_differs"] == doc["recomputed_differs"] == doc["hours_backwards"] == 0 and not doc["windows_collapsed"]
+    assert V.missingness_differs(p.public, {c: 0 for c in PUBLIC_42.names}) == {"hours_since_last_login": (2, 0)}
 
 
 def test_hmac_of_any_text(spark):
