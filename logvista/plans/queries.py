@@ -372,11 +372,11 @@ def entropy_by_actor(spark, sf):
 
 
 @query(
-    "SELECT sig, count(value) AS n, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, min(value) AS low, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median, quantile_cont(value, 0.75) AS q3, "
+    "SELECT sig, count(value) AS n, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, min(value) AS low, round(quantile_cont(value, 0.25), 6) AS q1, round(quantile_cont(value, 0.5), 6) AS median, round(quantile_cont(value, 0.75), 6) AS q3, "
     "max(value) AS high FROM e GROUP BY sig"
 )
 def group_describe(spark, sf):
-    return D.describe(events(spark, sf), "sig", "value").withColumns({c: F.round(c, 6) for c in ("mean", "std")})
+    return D.describe(events(spark, sf), "sig", "value").withColumns({c: F.round(c, 6) for c in ("mean", "std", "q1", "median", "q3")})
 
 
 @query("SELECT actor, CAST(max(sig) AS INTEGER) AS ever_flagged, count(*) AS event_count FROM e GROUP BY actor")
@@ -469,12 +469,12 @@ def topk_encode(spark, sf):
     return d.groupBy(M.cap_category("country", M.top_values(d, "country", 5)).alias("country")).agg(F.count("*").alias("events"))
 
 
-_SCORED = ", s AS (SELECT event_id, round(least(greatest((hour(ts) * 4 + value) / 200, 0), 1), 2) AS score, sig AS label, rn FROM e), g AS (SELECT score AS s, count(*) FILTER (label = 1) AS p, count(*) FILTER (label = 0) AS n FROM s GROUP BY 1), "
+_SCORED = ", s AS (SELECT event_id, least(floor((hour(ts) * 4 + value) / 2) / 100, 1) AS score, sig AS label, rn FROM e), g AS (SELECT score AS s, count(*) FILTER (label = 1) AS p, count(*) FILTER (label = 0) AS n FROM s GROUP BY 1), "
 _CUM = _SCORED + "c AS (SELECT s, p, n, sum(p) OVER (ORDER BY s DESC) AS tp, sum(n) OVER (ORDER BY s DESC) AS fp, sum(p) OVER () AS positives, sum(n) OVER () AS negatives FROM g) "
 
 
 def _scores(spark, sf):
-    score = F.round(F.least(F.greatest((F.hour("ts") * 4 + F.col("value")) / 200, F.lit(0.0)), F.lit(1.0)), 2)
+    score = F.least(F.floor((F.hour("ts") * 4 + F.col("value")) / 2) / 100, F.lit(1.0))  # exact in binary but for one division
     return events(spark, sf).select("event_id", "actor", score.alias("score"), F.col("sig").alias("label"), ES.prior_count().alias("prior"))
 
 
