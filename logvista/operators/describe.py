@@ -108,7 +108,7 @@ def having_rate(df: DataFrame, key: str, signal: str, least: int = 30) -> DataFr
 
 
 def heatmap(df: DataFrame, day: Column, hour: Column, signal: str) -> DataFrame:
-    g = df.groupBy(day.alias("day")).pivot("hour_", list(range(24))) if "hour_" in df.columns else df.withColumn("hour_", hour).groupBy(day.alias("day")).pivot("hour_", list(range(24)))
+    g = df.withColumn("hour_", hour).groupBy(day.alias("day")).pivot("hour_", list(range(24)))
     out = g.agg(F.avg(signal))
     return out.select("day", *(F.col(str(h)).alias(f"h{h:02d}") for h in range(24)))
 
