@@ -204,8 +204,8 @@ def near_duplicates(
 
     pairs = shared.select("id", F.explode(F.array("p0", "p1")).alias("p")).where("id <> p").select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b"))
     pairs = work.keep(pairs.distinct().join(side("b"), "b").join(side("a"), "a").where(near_enough("bits", bands * rows, percent)).select("a", "b"), "pairs")
-    needed = shared.select("id")
-    texts = likely(own, needed).join(needed, "id", "left_semi").dropDuplicates(["id"])
+    needed = work.keep(shared.select("id").distinct(), "needed")
+    texts = likely(own, needed).join(needed, "id").dropDuplicates(["id"])  # no semi-join, which Spark would do before the map
     texts = work.keep(texts.mapInArrow(_fine(k), "id long, text string, fine array<long>"), "texts")
 
     def settled(p: DataFrame, name: str) -> DataFrame:
