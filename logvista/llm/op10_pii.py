@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -206,7 +207,7 @@ def _replace(text_col: str, extra: str, n_col: str, kinds_col: str, key: bytes):
             if changed:
                 where = np.zeros(batch.num_rows, bool)
                 where[list(changed)] = True
-                texts = pa.compute.replace_with_mask(texts.cast(pa.large_string()), pa.array(where), pa.array(list(changed.values()), pa.large_string())).cast(pa.string())
+                texts = pc.replace_with_mask(texts.cast(pa.large_string()), pa.array(where), pa.array(list(changed.values()), pa.large_string())).cast(pa.string())
             columns = {c: batch.column(c) for c in batch.schema.names if c != extra} | {text_col: texts, n_col: pa.array(n), kinds_col: pa.array(kinds)}
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
@@ -218,7 +219,6 @@ def replace_private(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_co
     and entity_types (sorted, joined by commas). A text without entities is returned as it is, a null text as null. Two rows
     of one id, and rows without id, are treated alike. Names of the new columns get underscores if they are taken.
     """
-    import pyarrow.compute  # noqa: F401
 
     work = Workspace(docs.sparkSession, "pii")
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))

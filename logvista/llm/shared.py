@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Rows after which a Python worker is handed an Arrow batch, see ``sized_batches``.
+#: Bytes of text that are worked on at once.
 SLICE_BYTES = 1 << 19
 
 
