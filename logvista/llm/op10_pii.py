@@ -40,7 +40,8 @@ _PATTERN = re.compile(
     r"|(?P<card>(?<![\w.-])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-]))"
     r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?![\w-]))"
     r"|(?P<key>(?<!\w)AKIA[A-Z0-9]{16}(?!\w))"
-    r"|(?<!\w)(?i:password|passwd|secret|token|api_key)\s{0,3}[=:]\s{0,3}[\"']?(?P<secret>[A-Za-z0-9+/_-]{8,128})(?![\w])"
+    r"|(?:(?<![^\W_])|(?<=[a-z])(?=[A-Z]))(?i:password|passwd|secret|token|api[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
+    r"(?P<secret>[A-Za-z0-9+/~_-]+(?:\.{1,2}[A-Za-z0-9+/~_-]+)*(?<=[A-Za-z0-9+/~_.-]{8}))(?!\w)"
     rf"|(?<!\w)(?P<title>{'|'.join(MALE + FEMALE + EITHER)})\.?\s(?P<names>{_NAME}(?:[ -]{_NAME}){{0,2}})"
 )
 _TRIGGER = np.zeros(256, bool)
