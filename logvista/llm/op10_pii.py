@@ -37,7 +37,7 @@ _NAME = r"[^\W\d_a-zа-яα-ω][^\W\d_]+"
 _PATTERN = re.compile(
     r"(?P<email>(?<![\w.+-])[A-Za-z0-9][\w.+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,5}\.[A-Za-z]{2,24}(?![\w-]))"
     r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d))"
-    r"|(?P<card>(?<![\w.-])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-]))"
+    r"|(?P<card>(?<![\w.-])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?:(?<=[ -]\d{4})[ -]\d{1,3})?(?![\w-]))"
     r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?![\w-]))"
     r"|(?P<key>(?<!\w)AKIA[A-Z0-9]{16}(?!\w))"
     r"|(?:(?<![^\W_])|(?<=[a-z])(?=[A-Z]))(?i:password|passwd|secret|token|api[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
@@ -55,11 +55,17 @@ def _script(text: str) -> str:
     return "cyrillic" if 0x400 <= c < 0x530 else "greek" if 0x370 <= c < 0x400 else "latin"
 
 
+def _card(value: str) -> str | None:
+    """The part of a number in card form whose check digit is valid: all of it, or all but a short last group, or none."""
+    parts = re.fullmatch(r"((?:\d{4}[ -]){3}\d{4})[ -]\d{1,3}", value)
+    return next((v for v in (value, parts and parts[1]) if v and luhn(re.sub(r"\D", "", v)) == 0), None)
+
+
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, entity) of all mentions, in order and apart; two mentions of one entity have equal last fields."""
-    out = []
-    for m in _PATTERN.finditer(text):
-        kind = m.lastgroup
+    out, at = [], 0
+    while m := _PATTERN.search(text, at):
+        kind, at = m.lastgroup, m.end()
         if kind == "names":
             gender = "m" if m["title"] in MALE else "f" if m["title"] in FEMALE else "x"
             words = list(re.finditer(r"[^\W\d_]+", m["names"]))
@@ -68,8 +74,13 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 out.append((m.start("names") + w.start(), m.start("names") + w.end(), f"{kind}-{_script(w[0])}", w[0].casefold()))
         else:
             value = m[kind]
+            if kind == "card":
+                value = _card(value)
+                at = m.start() + len(value or m[0])
+                if not value:
+                    continue
             entity = re.sub(r"\D", "", value) if kind in ("card", "phone") else value.casefold() if kind == "email" else value
-            out.append((*m.span(kind), kind, entity))
+            out.append((m.start(kind), m.start(kind) + len(value), kind, entity))
     return out
 
 

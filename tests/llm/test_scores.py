@@ -173,6 +173,14 @@ def test_secrets_of_any_length_and_label():
     assert [len(x) for x in new.split(".")] == [len(x) for x in jwt.split(".")] and not set(new.split(".")) & set(jwt.split("."))
 
 
+def test_a_card_needs_its_check_digit():
+    for text in ("4111 1111 1111 1112", "4111-1111-1111-1112", "4111111111111112", "id 5500000000000005 of 10"):
+        assert P.find(text) == []
+    text = "4111 1111 1111 1111 200 people, 5500000000000004, 6304 0000 0000 0000 000 and 4111 1111 1111 1111 200 555 1234"
+    found = [(k, text[a:b]) for a, b, k, _ in P.find(text)]
+    assert found == [("card", "4111 1111 1111 1111"), ("card", "5500000000000004"), ("card", "6304 0000 0000 0000 000"), ("card", "4111 1111 1111 1111"), ("phone", "200 555 1234")]
+
+
 def test_collisions_are_drawn_again(spark, monkeypatch):
     """A type with few values: nine one-digit phones would soon meet."""
     rows = [("ip", f"10.0.0.{i}") for i in range(40)]
