@@ -173,6 +173,22 @@ def test_secrets_of_any_length_and_label():
     assert [len(x) for x in new.split(".")] == [len(x) for x in jwt.split(".")] and not set(new.split(".")) & set(jwt.split("."))
 
 
+def test_forms_of_mentions():
+    forms = {
+        "email": ["émile@mail.org", "_ann@mail.org", "ann@bücher.de", "иван@почта.рф", "张伟@例子.公司", "a@b.xn--p1ai", "a@b1.c2.d3.e4.f5.g6.h7.org"],
+        "phone": ["+33 1 23 45 67 89", "+33.1.23.45.67.89", "+49 30 1234567", "+49 (30) 1234567", "+14155552671", "+4915112345678", "+1 (555) 555-2485", "555-555-2485"],
+        "card": ["3782 822463 10005", "3714-496353-98431", "2223 0031 2200 3222", "2720992222222229", "4222222222222"],
+    }
+    for kind, values in forms.items():
+        for v in values:
+            text = f"see {v}, then"
+            assert P.find(text) == [(4, 4 + len(v), kind, P.find(text)[0][3])], v
+            new = P.render(v, kind, P.surrogate(kind, P.find(text)[0][3], 0, b"k"))
+            assert new != v and not set(new) & set("张伟例子公司иванпочтéü"), v
+            assert kind != "card" or P.luhn(re.sub(r"\D", "", new)) == 0
+    assert P.find("on 20261126131800, 1+12345678, 3782 822463 10006, +33 1 23 and 2223 0031 2200 3223") == []
+
+
 def test_a_card_needs_its_check_digit():
     for text in ("4111 1111 1111 1112", "4111-1111-1111-1112", "4111111111111112", "id 5500000000000005 of 10"):
         assert P.find(text) == []
