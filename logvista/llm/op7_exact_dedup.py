@@ -35,6 +35,24 @@ def frequent(digests: DataFrame, column: str, winners: int = WINNERS, counters:
     return top.select(F.explode("top").alias("x")).select(F.col("x.item").alias(column))
 
 
+def _digest(text_col: str) -> F.Column:
+    return F.sha2(normalized(F.col(text_col)).cast("binary"), 256)
+
+
+def _groups(own: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of (id, digest, row): the groups of frequent digests, the rows of all others, and the groups of those.
+
+    A group is (digest, first, group_size), ``first`` the id and row that stay.
+    """
+    first = F.min(F.struct(F.col("id").isNull().alias("absent"), "id", "row")).alias("first")
+    group = [first, F.count("*").alias("group_size")]
+    hot = work.keep(
+        own.join(F.broadcast(frequent(own, "digest")), "digest").groupBy("digest").agg(*group).where("group_size > 1"), "hot"
+    )
+    rest = own.join(F.broadcast(hot), "digest", "left_anti")
+    return hot, rest, rest.groupBy("digest").agg(*group)
+
+
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a row of ``docs``: (id_col, keep_id, group_size, kept, text_sha256).
 
@@ -43,16 +61,10 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     one. Other columns are not read.
     """
     work = Workspace(docs.sparkSession, "exact")
-    own = work.keep(docs.select(F.col(id_col).alias("id"), F.sha2(normalized(F.col(text_col)).cast("binary"), 256).alias("digest"))
-                    .withColumn("row", F.monotonically_increasing_id()), "digests")
-    first = F.min(F.struct(F.col("id").isNull().alias("absent"), "id", "row")).alias("first")
-    group = [first, F.count("*").alias("group_size")]
-    hot = work.keep(
-        own.join(F.broadcast(frequent(own, "digest")), "digest").groupBy("digest").agg(*group).where("group_size > 1"), "hot"
-    )
+    own = work.keep(docs.select(F.col(id_col).alias("id"), _digest(text_col).alias("digest")).withColumn("row", F.monotonically_increasing_id()), "digests")
+    hot, rest, others = _groups(own, work)
     large = own.join(F.broadcast(hot), "digest")  # at most WINNERS rows
-    rest = own.join(F.broadcast(hot), "digest", "left_anti")
-    other = rest.join(rest.groupBy("digest").agg(*group), "digest")
+    other = rest.join(others, "digest")
     return large.unionByName(other).select(
         F.col("id").alias(id_col), F.col("first.id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("first.row")).alias("kept"), F.col("digest").alias("text_sha256"),
@@ -60,10 +72,16 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose id ``exact_duplicates`` keeps; rows repeated under a kept id all stay."""
-    here = free_name(docs, "stays")
-    kept = exact_duplicates(docs, id_col, text_col).where("kept").select(F.col(id_col).alias(here)).distinct()
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col(here)), "left_semi")
+    """The rows of ``docs``, with all their columns, that ``exact_duplicates`` keeps: one row of each group of equal texts.
+
+    Rows are numbered in a copy of ``docs``, so that neither repeated nor missing ids matter.
+    """
+    work = Workspace(docs.sparkSession, "exact")
+    digest, row, stays = (free_name(docs, n) for n in ("digest", "row", "stays"))
+    whole = work.keep(docs.withColumns({digest: _digest(text_col), row: F.monotonically_increasing_id()}), "rows")
+    hot, _, others = _groups(whole.select(F.col(id_col).alias("id"), F.col(digest).alias("digest"), F.col(row).alias("row")), work)
+    kept = hot.unionByName(others).select(F.col("first.row").alias(stays))
+    return whole.join(kept, F.col(row) == F.col(stays), "left_semi").drop(digest, row)
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -101,6 +101,14 @@ def test_exact_copies(spark, docs, texts, empty):
     assert {(r["doc_id"], r["keep_id"], r["kept"]) for r in E.exact_duplicates(d).collect()} == {(None, 3, False), (3, 3, True), (2, 2, True), (None, None, True)}
 
 
+def test_exact_copies_go_by_row(spark):
+    rows = [(1, "a", "x"), (1, "a", "x"), (2, "b", "x"), (3, "b", "x"), (3, "c", "x"), (None, "d", "x"), (None, "d", "x"), (None, "a", "x"), (None, "e", "x"), (4, None, "x"), (5, " ", "x"), (6, "", "x")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, row string").repartition(4)
+    got = E.drop_exact_duplicates(d)
+    assert got.columns == d.columns
+    assert sorted(got.collect(), key=str) == sorted([(1, "a", "x"), (2, "b", "x"), (3, "c", "x"), (None, "d", "x"), (None, "e", "x"), (4, None, "x"), (5, " ", "x")], key=str)
+
+
 def test_mixture(spark, docs, empty):
     plan = X.mix_plan(X.plan_mix(docs)).collect()
     total = sum(r["size"] for r in plan)
