@@ -73,10 +73,12 @@ def distinct_sorted(h: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     return [np.unique(h[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
-def _sketch(id_col: str, text_col: str, k: int, bands: int, rows: int):
+def _sketch(k: int, bands: int, rows: int):
+    """Of rows (row, id, text), (row, id, n, s1, s2, bands, bits)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, to, data, bounds in tb.slices(batch, text_col, SLICE_BYTES):
+            for at, to, data, bounds in tb.slices(batch, "text", SLICE_BYTES):
                 words, per_text = tb.word_hashes(data, bounds)
                 s1, s2 = tb.sequence_hashes(words, per_text)
                 h, own = tb.shingles(words, per_text, k)
@@ -88,11 +90,11 @@ def _sketch(id_col: str, text_col: str, k: int, bands: int, rows: int):
                     keys[some], bits[some] = band_keys(signature, bands, rows), low_bits(signature)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(id_col).slice(at, to - at), pa.array(n),
+                        *(batch.column(c).slice(at, to - at) for c in ("row", "id")), pa.array(n),
                         pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)),
                         *(pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), pa.array(x.ravel())) for x in (keys, bits)),
                     ],
-                    names=["id", "n", "s1", "s2", "bands", "bits"],
+                    names=["row", "id", "n", "s1", "s2", "bands", "bits"],
                 )
 
     return run
@@ -173,27 +175,39 @@ def near_duplicates(
 
     Words end at ASCII white space and are compared after lower-casing A-Z; the set of a text is its distinct runs of k
     words, or the whole sequence if it has fewer. Two texts are linked if 100 * |intersection| >= percent * |union|.
-    ``component_id`` is the smallest id that can be reached over links. Null and empty texts and those of white space
-    have n_shingles 0 and are linked with nothing. Repeated rows of one id get a row each; a row without id is linked
-    with nothing (component_id null, kept). Further columns of ``docs`` are not read. Copies of a word sequence share one
-    representative, so that a large group of copies costs as much as one text; nothing else is merged or capped.
+    ``component_id`` is the smallest id that can be reached over links, and ``kept`` whether it is the row's own. Null and
+    empty texts and those of white space have n_shingles 0 and are linked with nothing. Rows are told apart by a number and
+    not by their id: repeated rows of one id get a row each, and different texts of one id are linked each on its own. A
+    row without id is linked with nothing (component_id null, kept). Further columns of ``docs`` are not read. Copies of a
+    word sequence share one representative, so that a large group of copies costs as much as one text; nothing else is
+    merged or capped.
     """
-    spark = docs.sparkSession
-    work = Workspace(spark, "near")
+    work = Workspace(docs.sparkSession, "near")
+    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
+    found = _components(work.keep(own, "rows"), work, k, percent, bands, rows)
+    component = F.coalesce("first.id", "id")
+    return found.select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
+        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
+    )
+
+
+def _components(own: DataFrame, work: Workspace, k: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """Of (row, id, text), (row, id, n, first): ``first`` is the component's smallest (id, row), null for what can't be linked."""
     pair_schema = "a long, b long"
-    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     sketch = work.keep(
-        own.mapInArrow(_sketch("id", "text", k, bands, rows), "id long, n long, s1 long, s2 long, bands array<long>, bits array<long>"), "sketch"
+        own.mapInArrow(_sketch(k, bands, rows), "row long, id long, n long, s1 long, s2 long, bands array<long>, bits array<long>"), "sketch"
     )
     full = sketch.where("n > 0 and id is not null")
-    first = full.groupBy("s1", "s2").agg(F.min("id").alias("rep"))
+    first = full.groupBy("s1", "s2").agg(F.min(F.struct("id", "row")).alias("rep"))
     placed = sketch.join(first, ["s1", "s2"], "left")
     rep = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("rep"))
-    first_ = F.col("id") == rep
-    placed = work.keep(placed.select("id", "n", rep.alias("rep"), F.when(first_, F.col("bands")).alias("bands"), F.when(first_, F.col("bits")).alias("bits")), "members")
-    members = placed.select("id", "n", "rep")
+    first_ = F.col("row") == rep["row"]
+    placed = work.keep(placed.select("row", "id", "n", rep.alias("rep"), F.when(first_, F.col("bands")).alias("bands"), F.when(first_, F.col("bits")).alias("bits")), "members")
+    members = placed.select("row", "id", "n", "rep")
     work.drop(sketch)
-    texts_of = placed.where("bands is not null")
+    # From here on a text is known by the row that represents it.
+    texts_of = placed.where("bands is not null").select(F.col("row").alias("id"), "n", "bands", "bits")
     rows_ = texts_of.select("id", F.explode("bands").alias("key"))
     shared = rows_.groupBy("key").agg(F.min("id").alias("p0"), F.max("id").alias("p1")).where("p0 < p1")
     shared = work.keep(rows_.join(shared, "key"), "buckets")  # buckets of several texts only
@@ -204,7 +218,7 @@ def near_duplicates(
     pairs = shared.select("id", F.explode(F.array("p0", "p1")).alias("p")).where("id <> p").select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b"))
     pairs = work.keep(pairs.distinct().join(side("b"), "b").join(side("a"), "a").where(near_enough("bits", bands * rows, percent)).select("a", "b"), "pairs")
     needed = work.keep(shared.select("id").distinct(), "needed")
-    texts = likely(own, needed).join(needed, "id").dropDuplicates(["id"])  # no semi-join, which Spark would do before the map
+    texts = likely(own.select(F.col("row").alias("id"), "text"), needed).join(needed, "id")  # no semi-join, which Spark would do before the map
     texts = work.keep(texts.mapInArrow(_fine(k), "id long, text string, fine array<long>"), "texts")
 
     def settled(p: DataFrame, name: str) -> DataFrame:
@@ -226,20 +240,28 @@ def near_duplicates(
     rest = left.join(right, apart & near_enough("fine", FINE, percent) & first_shared)
     rest = rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).join(pairs, ["a", "b"], "left_anti")
     more = settled(rest, "more")
-    roots2 = connected_components(links.union(more), work)
-    out = members.join(roots2.withColumnRenamed("node", "rep"), "rep", "left")
-    component = F.coalesce("root", "rep", "id")
-    return out.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
-    )
+    roots2 = work.keep(connected_components(links.union(more), work), "roots")
+    # Written, so that the join below is one of two exchanges and can be split where a component is large.
+    firsts = members.where("row = rep.row").select(F.col("row").alias("node"), "rep")
+    firsts = work.keep(roots2.join(firsts, "node").groupBy("root").agg(F.min("rep").alias("first")), "firsts")
+    roots2 = roots2.join(firsts, "root").select("node", "first")
+    out = members.join(roots2, F.col("rep.row") == F.col("node"), "left")
+    return out.select("row", "id", "n", F.coalesce("first", "rep").alias("first"))
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that ``near_duplicates`` keeps: one text of each component."""
-    gone = free_name(docs, "gone")
-    found = near_duplicates(docs, id_col, **options).where("not kept").select(F.col(id_col).alias(gone)).distinct()
-    return docs.join(found, F.col(id_col).cast("long") == F.col(gone), "left_anti")
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
+    bands: int = BANDS, rows: int = ROWS,
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that no other row of their component comes before: of each component of
+    ``near_duplicates`` one row with the smallest id, and all rows that can't be linked.
+    """
+    work = Workspace(docs.sparkSession, "near")
+    row, gone = (free_name(docs, n) for n in ("row", "gone"))
+    whole = work.keep(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    own = whole.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(row).alias("row"))
+    found = _components(own, work, k, percent, bands, rows).where("row <> first.row").select(F.col("row").alias(gone))
+    return whole.join(found, F.col(row) == F.col(gone), "left_anti").drop(row)
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 
 from logvista.llm import components as C
@@ -66,6 +67,21 @@ def test_rejected_rows_go_and_columns_stay(docs, texts):
     assert got.columns == docs.columns and {r["doc_id"] for r in got.select("doc_id").collect()} == {i for i, c in enumerate(want) if c == i}
 
 
+def test_near_copies_go_by_row(spark):
+    """Ids 1 and 2 stand on two texts each; only the texts are linked, and one row of a component stays."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (2, f"{a} end"), (2, f"{c} end"), (3, f"{b} end"), (4, c), (5, "q r s t u v"), (5, "q r s t u v"), (6, ""), (6, ""), (None, a)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit("x")).repartition(3)
+    s = sets([t for _, t in rows], 5)
+    low = [min(rows[j][0] for j, g in enumerate(components(s)) if g == h and rows[j][0]) if s[i] and rows[i][0] else rows[i][0] for i, h in enumerate(components(s))]
+    assert low == [1, 1, 1, 2, 1, 2, 5, 5, 6, 6, None]
+    got = N.near_duplicates(d).collect()
+    assert sorted(((r["doc_id"], r["component_id"]) for r in got), key=str) == sorted(((i, h) for (i, _), h in zip(rows, low, strict=True)), key=str)
+    stay = N.drop_near_duplicates(d)
+    assert stay.columns == d.columns
+    assert sorted((tuple(r)[:2] for r in stay.collect()), key=str) == sorted([(1, a), (1, b), (2, f"{c} end"), (5, "q r s t u v"), (6, ""), (6, ""), (None, a)], key=str)
+
+
 def test_components_in_few_and_many_tasks(spark):
     r = np.random.default_rng(0)
     edges = [(int(a), int(b)) for a, b in r.integers(0, 300, (200, 2))] + [(i, i + 1) for i in range(1000, 1040)] + [(5, 5), (None, 3)]
