@@ -1,7 +1,8 @@
 """Token ids of whole batches with the tokenizers library.
 
 Natural text repeats its words, so a text is cut where byte-level pre-tokenisation certainly cuts, and each distinct piece
-is encoded once and remembered. The ids are those of encoding the whole text: a cut is made only
+is encoded once and remembered with its bytes. A piece is looked up by a hash, and every find is compared byte by byte; what
+differs is encoded by itself. The ids are those of encoding the whole text: a cut is made only
   - before a space that a printable character follows (the space opens that character's pre-token),
   - round a line feed that a printable character follows (it is a pre-token of its own), and
   - between an ASCII letter and ASCII punctuation.
@@ -27,8 +28,23 @@ _VISIBLE = np.ones(256, bool)
 _VISIBLE[: 0x20 + 1] = False
 _VISIBLE[[0x7F, 0xC2, 0xE1, 0xE2, 0xE3]] = False
 
-#: Slots of the cache of pieces, and ids kept before it starts afresh.
-SLOTS, STORED = 1 << 21, 1 << 23
+#: Slots of the cache of pieces, and ids and bytes kept before it starts afresh.
+SLOTS, STORED, KEPT = 1 << 21, 1 << 23, 1 << 25
+
+
+class Store:
+    """An array that grows at its end."""
+
+    def __init__(self, dtype):
+        self.values, self.size = np.zeros(1 << 16, dtype), 0
+
+    def add(self, more: np.ndarray) -> int:
+        """Appends; returns the place of the first new value."""
+        at, end = self.size, self.size + len(more)
+        if end > len(self.values):
+            self.values = np.concatenate([self.values[:at], np.zeros(at + 2 * len(more), self.values.dtype)])
+        self.values[at:end], self.size = more, end
+        return at
 
 
 class Encoder:
@@ -51,10 +67,8 @@ class Encoder:
 
     def reset(self) -> None:
         self.key = np.zeros(SLOTS, np.uint64)
-        self.at = np.zeros(SLOTS, np.uint32)
-        self.len = np.zeros(SLOTS, np.uint32)
-        self.store = np.zeros(1 << 16, self.dtype)
-        self.stored = 0
+        self.at, self.len, self.byte_at, self.bytes = (np.zeros(SLOTS, np.uint32) for _ in range(4))
+        self.store, self.texts = Store(self.dtype), Store(np.uint8)
 
     def _whole(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         raw = data.tobytes()
@@ -79,28 +93,41 @@ class Encoder:
         start, end = edges[:-1], edges[1:]
         h = tb.span_hashes(tb._BYTE[data], start, end)
         slot = (h >> np.uint64(64 - 21)).astype(np.int64)
-        at, size = self.at[slot], self.len[slot]
+        at, size, byte_at, n_bytes = (x[slot] for x in (self.at, self.len, self.byte_at, self.bytes))
         if len(miss := np.flatnonzero(self.key[slot] != h)):
             new, first, back = np.unique(h[miss], return_index=True, return_inverse=True)
             first = miss[first]
-            texts = [raw[a:b].decode() for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
-            ids = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, ids), np.uint32, len(ids))
-            flat = np.fromiter((i for x in ids for i in x), self.dtype, int(sizes.sum()))
-            if self.stored + len(flat) > max(STORED, 2 * len(flat)):
+            ids, sizes = self._pieces(raw, start[first], end[first])
+            own = data[tb.places(start[first], end[first] - start[first])]
+            if self.store.size + len(ids) > max(STORED, 2 * len(ids)) or self.texts.size + len(own) > max(KEPT, 2 * len(own)):
                 return self._afresh(data, bounds)
-            if self.stored + len(flat) > len(self.store):
-                self.store = np.concatenate([self.store[: self.stored], np.zeros(self.stored + 2 * len(flat), self.dtype)])
-            self.store[self.stored : self.stored + len(flat)] = flat
-            places = (np.cumsum(sizes) - sizes + self.stored).astype(np.uint32)
-            self.stored += len(flat)
-            at[miss], size[miss] = places[back], sizes[back]
+            n_own = (end[first] - start[first]).astype(np.uint32)
+            new_at = (np.cumsum(sizes) - sizes + self.store.add(ids)).astype(np.uint32)
+            new_byte = (np.cumsum(n_own, dtype=np.int64) - n_own + self.texts.add(own)).astype(np.uint32)
+            at[miss], size[miss], byte_at[miss], n_bytes[miss] = new_at[back], sizes[back], new_byte[back], n_own[back]
             s = (new >> np.uint64(64 - 21)).astype(np.int64)
-            self.key[s], self.at[s], self.len[s] = new, places, sizes
-        size = size.astype(np.int64)
+            self.key[s], self.at[s], self.len[s], self.byte_at[s], self.bytes[s] = new, new_at, sizes, new_byte, n_own
+        at, size = at.astype(np.int64), size.astype(np.int64)
+        wrong = n_bytes != end - start
+        length = np.where(wrong, 0, end - start)
+        differ = self.texts.values[tb.places(byte_at.astype(np.int64), length)] != data[tb.places(start, length)]
+        if differ.any():
+            wrong[np.repeat(np.arange(len(start)), length)[differ]] = True
+        if len(other := np.flatnonzero(wrong)):  # pieces that only share their hash with the one remembered
+            ids, sizes = self._pieces(raw, start[other], end[other])
+            at[other], size[other] = np.cumsum(sizes) - sizes + self.store.size, sizes
+            values = np.concatenate([self.store.values[: self.store.size], ids])
+        else:
+            values = self.store.values
         total = np.concatenate([[0], np.cumsum(size)])
-        where = np.repeat(at.astype(np.int64) - total[:-1], size) + np.arange(total[-1])
-        return self.store[where], total[np.searchsorted(edges, bounds)]
+        return values[tb.places(at, size)], total[np.searchsorted(edges, bounds)]
+
+    def _pieces(self, raw: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces end to end, and how many each has."""
+        texts = [raw[a:b].decode() for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        ids = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.uint32, len(ids))
+        return np.fromiter((i for x in ids for i in x), self.dtype, int(sizes.sum())), sizes
 
     def _afresh(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         self.reset()

@@ -4,11 +4,11 @@ Two bijections of the 32-bit ring take the place of the two permutations: the fi
 second gives coordinate k after the scattered values were shifted round the ring by k. So one pass of shift, mix and
 minimum per coordinate yields the signature, without a family of K hash functions.
 
-Bands of the signature propose pairs; each pair is settled on the full shingle sets. A bucket is never expanded into all
-its pairs: its members are first compared with two pivots, then only members that ended in different components are
-compared with each other. Before a pair is made, set sizes and one bit of each coordinate have to allow the similarity, with
-a margin of ``MARGIN`` deviations; in the second round that is done with ``FINE`` coordinates, and in the first bucket that
-the two share.
+Bands of the signature propose pairs; each pair is settled on the full shingle sets, whose words are compared byte by byte
+wherever hashes agree. A bucket is never expanded into all its pairs: its members are first compared with two pivots, then
+only members that ended in different components are compared with each other. Before a pair is made, set sizes and one bit
+of each coordinate have to allow the similarity, with a margin of ``MARGIN`` deviations; in the second round that is done
+with ``FINE`` coordinates, in the first bucket that the two share, and in blocks of ``BLOCK`` members.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import textbytes as tb
 from .components import connected_components
-from .shared import SLICE_BYTES, Workspace, free_name, read_table
+from .shared import SLICE_BYTES, Workspace, free_name, join_split, read_table
 
 #: Bands and rows of each: a pair at similarity 0.8 is missed with probability (1 - 0.8^7)^64, which is 3e-7.
 BANDS, ROWS = 64, 7
@@ -33,6 +33,8 @@ MARGIN = 5.5
 FINE = 4096
 #: Bits of the map that keeps most texts which no pair needs from being shuffled, at most: 8 MB, whatever the corpus.
 MAP_BITS = 1 << 26
+#: Members of a bucket that meet in one task in the second round; texts of a task that makes sketches for it.
+BLOCK, TEXTS = 4096, 500
 
 
 def signatures(shingle_hashes: np.ndarray, bounds: np.ndarray, n: int) -> np.ndarray:
@@ -69,29 +71,22 @@ def low_bits(signature: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(np.pad(packed, ((0, 0), (0, -packed.shape[1] % 8)))).view(np.int64)
 
 
-def distinct_sorted(h: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
-    return [np.unique(h[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-
-
 def _sketch(k: int, bands: int, rows: int):
     """Of rows (row, id, text), (row, id, n, s1, s2, bands, bits)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, to, data, bounds in tb.slices(batch, "text", SLICE_BYTES):
-                words, per_text = tb.word_hashes(data, bounds)
-                s1, s2 = tb.sequence_hashes(words, per_text)
-                h, own = tb.shingles(words, per_text, k)
-                n = np.array([len(x) for x in distinct_sorted(h, own)], np.int64)
+                s = tb.Shingles(data, bounds, k)
+                n, digest = s.tally()[:, 1], tb.sequence_digests(data, bounds)
                 keys = np.zeros((to - at, bands), np.int64)
                 bits = np.zeros((to - at, -(-bands * rows // 64)), np.int64)
                 if (some := n > 0).any():
-                    signature = signatures(h, np.append(own[:-1][some], len(h)), bands * rows)
+                    signature = signatures(s.hashes, np.append(s.bounds[:-1][some], len(s.hashes)), bands * rows)
                     keys[some], bits[some] = band_keys(signature, bands, rows), low_bits(signature)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(batch.column(c).slice(at, to - at) for c in ("row", "id")), pa.array(n),
-                        pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)),
+                        *(batch.column(c).slice(at, to - at) for c in ("row", "id")), pa.array(n), pa.array(digest[:, 0]), pa.array(digest[:, 1]),
                         *(pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), pa.array(x.ravel())) for x in (keys, bits)),
                     ],
                     names=["row", "id", "n", "s1", "s2", "bands", "bits"],
@@ -101,15 +96,15 @@ def _sketch(k: int, bands: int, rows: int):
 
 
 def _fine(k: int):
-    """Of rows (id, text), (id, text, fine): a bit of each of ``FINE`` coordinates."""
+    """Of rows (id, text), (id, fine): a bit of each of ``FINE`` coordinates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, to, data, bounds in tb.slices(batch, "text", SLICE_BYTES):
-                h, own = tb.shingles(*tb.word_hashes(data, bounds), k)
-                bits = low_bits(signatures(h, own, FINE))  # texts of pairs have shingles
+                s = tb.Shingles(data, bounds, k)
+                bits = low_bits(signatures(s.hashes, s.bounds, FINE))  # texts of pairs have shingles
                 lists = pa.ListArray.from_arrays(np.arange(0, bits.size + 1, bits.shape[1], dtype=np.int32), pa.array(bits.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(at, to - at), batch.column("text").slice(at, to - at), lists], names=["id", "text", "fine"])
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(at, to - at), lists], names=["id", "fine"])
 
     return run
 
@@ -148,21 +143,15 @@ def _settle(k: int, numerator: int, denominator: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            step = 256
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
-                keep = np.zeros(part.num_rows, bool)
-                sets = {c: [] for c in ("text_a", "text_b")}
-                for c, got in sets.items():
-                    for _, _, data, bounds in tb.slices(part, c, SLICE_BYTES):
-                        got += distinct_sorted(*tb.shingles(*tb.word_hashes(data, bounds), k))
-                for i, (x, y) in enumerate(zip(*sets.values(), strict=True)):
-                    if min(len(x), len(y)) * denominator >= numerator * max(len(x), len(y)) > 0:
-                        z = np.concatenate([x, y])
-                        z.sort()
-                        both = int((z[1:] == z[:-1]).sum())
-                        keep[i] = denominator * both >= numerator * (len(z) - both)
-                yield pa.RecordBatch.from_arrays([part.column(c).filter(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
+            if not batch.num_rows:
+                continue
+            turn = np.arange(2 * batch.num_rows).reshape(2, -1).T.ravel()  # the two texts of a pair beside each other
+            both = pa.concat_arrays([batch.column(c).cast(pa.large_string()) for c in ("text_a", "text_b")]).take(pa.array(turn))
+            keep = np.zeros(batch.num_rows, bool)
+            for at, to, data, bounds in tb.slices(pa.RecordBatch.from_arrays([both], names=["text"]), "text", SLICE_BYTES, 2):
+                n = tb.Shingles(data, bounds, k).tally(2)
+                keep[at // 2 : to // 2] = denominator * n[:, 3] >= numerator * n[:, 1:].sum(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
 
     return run
 
@@ -193,60 +182,83 @@ def near_duplicates(
 
 
 def _components(own: DataFrame, work: Workspace, k: int, percent: int, bands: int, rows: int) -> DataFrame:
-    """Of (row, id, text), (row, id, n, first): ``first`` is the component's smallest (id, row), null for what can't be linked."""
+    """Of (row, id, text), (row, id, n, first): ``first`` is the component's smallest (id, row), null for what can't be linked.
+
+    Wherever rows meet by a key that many may share (a word sequence, a bucket, a component), ``join_split`` keeps frequent
+    keys out of the shuffle.
+    """
     pair_schema = "a long, b long"
     sketch = work.keep(
         own.mapInArrow(_sketch(k, bands, rows), "row long, id long, n long, s1 long, s2 long, bands array<long>, bits array<long>"), "sketch"
     )
-    full = sketch.where("n > 0 and id is not null")
-    first = full.groupBy("s1", "s2").agg(F.min(F.struct("id", "row")).alias("rep"))
-    placed = sketch.join(first, ["s1", "s2"], "left")
-    rep = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("rep"))
-    first_ = F.col("row") == rep["row"]
-    placed = work.keep(placed.select("row", "id", "n", rep.alias("rep"), F.when(first_, F.col("bands")).alias("bands"), F.when(first_, F.col("bits")).alias("bits")), "members")
+    full = "n > 0 and id is not null"
+    first = work.keep(sketch.where(full).groupBy("s1", "s2").agg(F.min(F.struct("id", "row")).alias("rep")), "first")
+    first_ = F.col("row") == F.col("rep.row")
+    placed = join_split(sketch.where(full), first, ["s1", "s2"], work).select(
+        "row", "id", "n", "rep", F.when(first_, F.col("bands")).alias("bands"), F.when(first_, F.col("bits")).alias("bits")
+    )
+    placed = work.keep(placed, "members")
+    alone = work.keep(sketch.where(f"not ({full})").select("row", "id", "n"), "alone")
     members = placed.select("row", "id", "n", "rep")
-    work.drop(sketch)
+    work.drop(sketch, first)
     # From here on a text is known by the row that represents it.
     texts_of = placed.where("bands is not null").select(F.col("row").alias("id"), "n", "bands", "bits")
     rows_ = texts_of.select("id", F.explode("bands").alias("key"))
-    shared = rows_.groupBy("key").agg(F.min("id").alias("p0"), F.max("id").alias("p1")).where("p0 < p1")
-    shared = work.keep(rows_.join(shared, "key"), "buckets")  # buckets of several texts only
+    shared = work.keep(rows_.groupBy("key").agg(F.min("id").alias("p0"), F.max("id").alias("p1")).where("p0 < p1"), "pivots")
+    shared = work.keep(join_split(rows_, shared, ["key"], work), "buckets")  # buckets of several texts only
 
     def side(x: str) -> DataFrame:
         return texts_of.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
 
+    def paired(pairs: DataFrame, of) -> DataFrame:
+        """Pairs with what ``of`` tells of each; a pivot is in very many pairs."""
+        return join_split(join_split(pairs, of("b"), ["b"], work), of("a"), ["a"], work)
+
     pairs = shared.select("id", F.explode(F.array("p0", "p1")).alias("p")).where("id <> p").select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b"))
-    pairs = work.keep(pairs.distinct().join(side("b"), "b").join(side("a"), "a").where(near_enough("bits", bands * rows, percent)).select("a", "b"), "pairs")
+    pairs = work.keep(pairs.distinct(), "proposed")
+    pairs = work.keep(paired(pairs, side).where(near_enough("bits", bands * rows, percent)).select("a", "b"), "pairs")
     needed = work.keep(shared.select("id").distinct(), "needed")
     texts = likely(own.select(F.col("row").alias("id"), "text"), needed).join(needed, "id")  # no semi-join, which Spark would do before the map
-    texts = work.keep(texts.mapInArrow(_fine(k), "id long, text string, fine array<long>"), "texts")
+    texts = work.keep(texts, "texts")
 
     def settled(p: DataFrame, name: str) -> DataFrame:
-        two = p.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-        two = two.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+        two = paired(p, lambda x: texts.select(F.col("id").alias(x), F.col("text").alias(f"text_{x}")))
         return work.keep(two.select("a", "b", "text_a", "text_b").mapInArrow(_settle(k, percent, 100), pair_schema), name)
 
     links = settled(pairs, "links")
     roots = work.keep(connected_components(links, work), "roots")
     # Members of a bucket that are not yet connected: each with every member of another component, once in all buckets.
-    placed = shared.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    open_ = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
+    placed = shared.select("id", "key").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    placed = work.keep(placed, "rooted")
+    open_ = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.ceil(F.count("*") / BLOCK).alias("blocks")).where("r0 < r1")
+    open_ = work.keep(open_.select("key", "blocks"), "open")
     about = texts_of.select("id", "n", F.transform("bands", lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("marks"), "bands")
-    placed = placed.join(open_, "key", "left_semi").join(about, "id").withColumn("nth", F.array_position("bands", F.col("key"))).drop("bands")
-    placed = work.keep(placed.join(texts.select("id", "fine"), "id"), "open")
-    left, right = (placed.select("key", "nth", *(F.col(c).alias(f"{c}_{x}") for c in ("id", "root", "n", "marks", "fine"))) for x in "ab")
+    placed = work.keep(join_split(placed, open_, ["key"], work), "open")
+    unsettled = work.keep(placed.select("id").distinct(), "unsettled")
+    tasks = max(1, -(-unsettled.count() // TEXTS))
+    fine = texts.join(unsettled, "id").repartition(tasks, "id").mapInArrow(_fine(k), "id long, fine array<long>")
+    about = work.keep(about.join(fine, "id"), "sketches")
+    placed = placed.join(about, "id").withColumn("nth", F.array_position("bands", F.col("key"))).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    placed = work.keep(placed.drop("bands"), "open")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))  # a block meets each block; a bucket of up to BLOCK members is one
+    left = placed.withColumn("block_b", other).withColumnRenamed("block", "block_a")
+    right = placed.withColumn("block_a", other).withColumnRenamed("block", "block_b")
+    left, right = (d.select("key", "block_a", "block_b", "nth", *(F.col(c).alias(f"{c}_{x}") for c in ("id", "root", "n", "marks", "fine"))) for d, x in ((left, "a"), (right, "b")))
     first_shared = F.array_position(F.zip_with("marks_a", "marks_b", lambda x, y: x == y), True) == left["nth"]
-    apart = (left["key"] == right["key"]) & (F.col("id_a") < F.col("id_b")) & (F.col("root_a") != F.col("root_b"))
+    same = (left["key"] == right["key"]) & (left["block_a"] == right["block_a"]) & (left["block_b"] == right["block_b"])
+    apart = same & (F.col("id_a") < F.col("id_b")) & (F.col("root_a") != F.col("root_b"))
     rest = left.join(right, apart & near_enough("fine", FINE, percent) & first_shared)
     rest = rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).join(pairs, ["a", "b"], "left_anti")
-    more = settled(rest, "more")
+    more = settled(work.keep(rest, "rest"), "more")
     roots2 = work.keep(connected_components(links.union(more), work), "roots")
-    # Written, so that the join below is one of two exchanges and can be split where a component is large.
     firsts = members.where("row = rep.row").select(F.col("row").alias("node"), "rep")
     firsts = work.keep(roots2.join(firsts, "node").groupBy("root").agg(F.min("rep").alias("first")), "firsts")
-    roots2 = roots2.join(firsts, "root").select("node", "first")
-    out = members.join(roots2, F.col("rep.row") == F.col("node"), "left")
-    return out.select("row", "id", "n", F.coalesce("first", "rep").alias("first"))
+    linked = work.keep(join_split(roots2, firsts, ["root"], work).select("node", "first"), "linked")
+    single = members.select(F.col("rep.row").alias("node")).distinct().join(linked, "node", "left_anti").select("node", F.lit(None).cast(linked.schema["first"].dataType).alias("first"))
+    every = work.keep(linked.unionByName(single), "every")
+    out = join_split(members.withColumn("node", F.col("rep.row")), every, ["node"], work)
+    none = alone.select("row", "id", "n", F.lit(None).cast(linked.schema["first"].dataType).alias("first"))
+    return out.select("row", "id", "n", F.coalesce("first", "rep").alias("first")).unionByName(none)
 
 
 def drop_near_duplicates(

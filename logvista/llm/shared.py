@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +16,15 @@ SLICE_BYTES = 1 << 19
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); one of our own only where that is unset, as in tests."""
+    """The folder that driver and executors share (spark.checkpoint.dir).
+
+    Where that is unset, a local session gets a folder of its own, as in tests; on a cluster RuntimeError is raised, for what
+    one machine writes to its own disk the others can't read.
+    """
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         at = tempfile.mkdtemp(prefix="logvista-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -31,13 +39,18 @@ def _hadoop_path(spark: SparkSession, path: str):
 class Workspace:
     """Tables written to the shared folder and read back, which cuts lineage and survives lost executors.
 
-    ``drop`` deletes a table that no later plan reads, to keep disk use down.
+    ``drop`` deletes a table that no later plan reads, to keep disk use down; ``close`` deletes all of them, and so has to
+    wait until what was made from them is written. ``scratch`` does that for every workspace opened inside it.
     """
 
+    _open: list[list[Workspace]] = []
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.count = 0
+        if Workspace._open:
+            Workspace._open[-1].append(self)
 
     def keep(self, df: DataFrame, name: str = "t", **options: str) -> DataFrame:
         path = self.path(name)
@@ -55,6 +68,21 @@ class Workspace:
             at, fs = _hadoop_path(self.spark, t._logvista_path)
             fs.delete(at, True)
 
+    def close(self) -> None:
+        at, fs = _hadoop_path(self.spark, self.root)
+        fs.delete(at, True)
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Closes the workspaces that were opened inside, at the end, however that is reached."""
+    Workspace._open.append([])
+    try:
+        yield
+    finally:
+        for w in Workspace._open.pop():
+            w.close()
+
 
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
@@ -80,3 +108,22 @@ def small(df: DataFrame, most: int) -> bool:
 def broadcast_if_small(df: DataFrame, most: int) -> DataFrame:
     """``df`` marked for broadcast if a count proves it small; otherwise as it is, for an ordinary join."""
     return F.broadcast(df) if small(df, most) else df
+
+
+def join_split(left: DataFrame, right: DataFrame, key: list[str], work: Workspace, share: int = 1000, least: int = 1000) -> DataFrame:
+    """``left`` joined with ``right``, which has one row a key, where ``left`` may hold one key very often. Null keys match nothing.
+
+    Keys on more than 1/share of the rows (and more than ``least``) are counted first; there are fewer than ``share`` of
+    them, so that their rows of ``right`` are broadcast and the rows of ``left`` stay where they are. All others meet by a
+    shuffle.
+    """
+    rows = left.count()
+    if rows <= least:
+        return left.join(right, key)
+    counts = left.groupBy(*key).agg(F.count("*").alias("n_"))
+    hot = work.keep(counts.where(F.col("n_") > max(least, rows // share)).dropna(subset=key).select(*key), "hot")
+    if hot.isEmpty():
+        return left.join(right, key)
+    hot = F.broadcast(hot)
+    frequent = F.broadcast(work.keep(right.join(hot, key, "left_semi"), "frequent"))
+    return left.join(frequent, key).unionByName(left.join(hot, key, "left_anti").join(right, key))

@@ -2,10 +2,14 @@
 
 All functions take the bytes of many texts laid end to end plus their bounds, as Arrow holds them, so that no Python
 string is made for a word. Words end at ASCII white space only, which is safe on UTF-8 bytes.
+
+The 64-bit hashes here are fast and no proof of equality: different words can share one. Whoever needs a proof compares the
+bytes (``tally``, ``spans_differ``) or takes the digests.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,10 +62,25 @@ def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return mix64(h ^ ((end - start).astype(_U64) * _U64(0xA0761D6478BD642F)))
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def places(at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """at[i], at[i] + 1 … of size[i] places, for all i end to end."""
+    return np.repeat(at - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
+def spans_differ(one: np.ndarray, a: np.ndarray, a_size: np.ndarray, two: np.ndarray, b: np.ndarray, b_size: np.ndarray) -> np.ndarray:
+    """Whether the bytes one[a:a + a_size] differ from two[b:b + b_size], for each pair of spans."""
+    differ = a_size != b_size
+    size = np.where(differ, 0, a_size)
+    wrong = one[places(a, size)] != two[places(b, size)]
+    if wrong.any():
+        differ[np.repeat(np.arange(len(a)), size)[wrong]] = True
+    return differ
+
+
+def slices(batch: pa.RecordBatch, column: str, most: int, step: int = 1) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, bytes, bounds) for runs of rows of about ``most`` bytes; a null text has no bytes.
 
-    A row larger than ``most`` is a run of its own, so memory follows the longest text and not the batch.
+    Every ``step`` rows stay together. A row larger than ``most`` is a run of its own, so memory follows the longest text and not the batch.
     """
     col = batch.column(column).cast(pa.large_string()).fill_null("")
     if not len(col):
@@ -71,7 +90,8 @@ def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[tuple[int,
     data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None and buffers[2].size else np.zeros(0, np.uint8)
     at = 0
     while at < len(col):
-        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + most, "right")) - 1)
+        to = int(np.searchsorted(bounds, bounds[at] + most, "right")) - 1
+        to = at + max(step, (to - at) // step * step)
         yield at, to, data[bounds[at] : bounds[to]], bounds[at : to + 1] - bounds[at]
         at = to
 
@@ -95,38 +115,87 @@ def word_spans(data: np.ndarray, bounds: np.ndarray, space: np.ndarray = SPACE)
     return start, end, np.searchsorted(start, bounds)
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words after lower-casing A-Z, in order, and each text's range of words."""
-    start, end, per_text = word_spans(data, bounds)
-    return span_hashes(_BYTE[LOWER[data]], start, end), per_text
-
-
 _FACTORS = mix64(np.arange(101, 165, dtype=_U64)) | _U64(1)
 
 
-def shingles(words: np.ndarray, per_text: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all runs of k words (repeats included), and each text's range of them.
+class Shingles:
+    """The runs of k words of many texts, A-Z in lower case, repeats included.
 
-    A text of fewer than k words has one shingle, the whole sequence; a text without words has none.
+    A text of fewer than k words has one shingle, the whole sequence; a text without words has none. ``bounds`` gives each
+    text's range in ``hashes``, ``at`` and ``size``: a hash, the first word and the number of words of each shingle.
     """
-    m = np.diff(per_text)
-    n_shingles = np.where(m == 0, 0, np.maximum(1, m - k + 1))
-    out_bounds = np.concatenate([[0], np.cumsum(n_shingles)])
-    if not len(words):
-        return np.zeros(0, _U64), out_bounds
-    padded = np.concatenate([words, np.zeros(k - 1, _U64)])
-    runs = words * _FACTORS[0]
-    for j in range(1, k):
-        runs += padded[j : j + len(words)] * _FACTORS[j]
-    which = np.repeat(per_text[:-1] - out_bounds[:-1], n_shingles) + np.arange(out_bounds[-1])
-    h = runs[which] ^ _U64(k)
-    for i in np.flatnonzero((m > 0) & (m < k)):
-        own = words[per_text[i] : per_text[i + 1]]
-        h[out_bounds[i]] = (own * _FACTORS[: len(own)]).sum(dtype=_U64) ^ _U64(len(own))
-    return mix64(h), out_bounds
-
-
-def sequence_hashes(words: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits for each text's whole word sequence."""
-    a = span_hashes(words, per_text[:-1], per_text[1:])
-    return a, span_hashes(mix64(words ^ _U64(0x5851F42D4C957F2D)), per_text[:-1], per_text[1:])
+
+    def __init__(self, data: np.ndarray, bounds: np.ndarray, k: int):
+        self.data, self.k = LOWER[data], k
+        self.start, self.end, self.per_text = word_spans(data, bounds)
+        words = span_hashes(_BYTE[self.data], self.start, self.end)
+        m = np.diff(self.per_text)
+        n = np.where(m == 0, 0, np.maximum(1, m - k + 1))
+        self.bounds = np.concatenate([[0], np.cumsum(n)])
+        self.at = np.repeat(self.per_text[:-1] - self.bounds[:-1], n) + np.arange(self.bounds[-1])
+        self.size = np.repeat(np.minimum(m, k), n)
+        if not len(words):
+            self.hashes = np.zeros(0, _U64)
+            return
+        padded = np.concatenate([words, np.zeros(k - 1, _U64)])
+        runs = words * _FACTORS[0]
+        for j in range(1, k):
+            runs += padded[j : j + len(words)] * _FACTORS[j]
+        h = runs[self.at] ^ _U64(k)
+        for i in np.flatnonzero((m > 0) & (m < k)):
+            own = words[self.per_text[i] : self.per_text[i + 1]]
+            h[self.bounds[i]] = (own * _FACTORS[: len(own)]).sum(dtype=_U64) ^ _U64(len(own))
+        self.hashes = mix64(h)
+
+    def words(self, i: int) -> tuple[bytes, ...]:
+        """Shingle i itself."""
+        return tuple(self.data[self.start[w] : self.end[w]].tobytes() for w in range(self.at[i], self.at[i] + self.size[i]))
+
+    def differ(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether shingles x and y differ, word by word and byte by byte."""
+        out = self.size[x] != self.size[y]
+        for j in range(self.k):
+            i = np.flatnonzero(~out & (j < self.size[x]))
+            a, b = self.at[x[i]] + j, self.at[y[i]] + j
+            out[i] = spans_differ(self.data, self.start[a], self.end[a] - self.start[a], self.data, self.start[b], self.end[b] - self.start[b])
+        return out
+
+    def tally(self, sides: int = 1) -> np.ndarray:
+        """(texts / sides, 2 ** sides): of every ``sides`` neighbouring texts, how many distinct shingles stand in which of
+        them. Column 3 of two sides counts those that both have, 1 and 2 those of the first and the second alone.
+
+        Shingles are sorted by their hash; those with equal hashes are compared in full, and where two differ, the sets of
+        these texts are made of the words themselves.
+        """
+        owners = (len(self.bounds) - 1) // sides
+        text = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
+        owner, side = text // sides, (1 << (text % sides)).astype(np.int64)
+        order = np.lexsort((self.hashes, owner))
+        h, o = self.hashes[order], owner[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (o[1:] != o[:-1])
+        again = np.flatnonzero(~new)
+        wrong = np.unique(o[again][self.differ(order[again], order[again - 1])])
+        first = np.flatnonzero(new)
+        marks = np.bitwise_or.reduceat(side[order], first) if len(first) else first
+        out = np.bincount(o[first] << sides | marks, minlength=owners << sides).reshape(owners, 1 << sides)
+        for i in wrong.tolist():
+            kinds: dict[tuple, int] = {}
+            for s in range(sides):
+                for j in range(self.bounds[i * sides + s], self.bounds[i * sides + s + 1]):
+                    kinds[w] = kinds.get(w := self.words(j), 0) | 1 << s
+            out[i] = np.bincount(list(kinds.values()), minlength=1 << sides)
+        return out
+
+
+def sequence_digests(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """(texts, 2): 128 bits of the SHA-256 of each text's words, A-Z in lower case, with one space between words."""
+    space = SPACE[data]
+    after = np.zeros(len(data), bool)
+    after[1:] = ~space[:-1]
+    after[bounds[:-1][bounds[:-1] < len(data)]] = False
+    keep = ~space | after
+    low = np.where(space, np.uint8(0x20), LOWER[data])[keep].tobytes()
+    ends = np.concatenate([[0], np.cumsum(keep)])[bounds].tolist()
+    digests = b"".join(hashlib.sha256(low[a:b].rstrip(b" ")).digest()[:16] for a, b in zip(ends[:-1], ends[1:], strict=True))
+    return np.frombuffer(digests, np.int64).reshape(-1, 2)

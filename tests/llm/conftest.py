@@ -32,3 +32,9 @@ def docs(spark, texts):
 @pytest.fixture(scope="session")
 def empty(docs):
     return docs.limit(0)
+
+
+def thue_morse(n):
+    """The first n letters of the Thue-Morse word, and the same with a and b exchanged: polynomial hashes modulo 2^64 are equal."""
+    word = "".join("ab"[i.bit_count() % 2] for i in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))

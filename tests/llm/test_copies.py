@@ -12,7 +12,10 @@ from logvista.llm import components as C
 from logvista.llm import op1_minhash as N
 from logvista.llm import op6_mixing as X
 from logvista.llm import op7_exact_dedup as E
-from logvista.llm.shared import Workspace
+from logvista.llm import textbytes as tb
+from logvista.llm.shared import Workspace, join_split
+
+from .conftest import thue_morse
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -54,6 +57,54 @@ def test_near_copies_are_those_of_brute_force(docs, texts, k):
         assert (r["n_shingles"], r["component_id"], r["kept"]) == (len(s[i]), want[i], want[i] == i)
 
 
+@pytest.mark.parametrize("n", [1024, 8192])
+def test_texts_with_equal_polynomial_hashes_are_told_apart(spark, n):
+    words = thue_morse(n)
+    sequences = [w.replace("a", "foo ").replace("b", "bar ") for w in words]
+    tail = " ".join(f"w{i}" for i in range(20))
+    every = [*words, *sequences, *(f"{w} {tail}" for w in words), *(f"{w} {tail} x" for w in words), f"{words[0]} {words[1]}", f"{words[1]} {words[0]}", " ".join([*words, *words])]
+    d = spark.createDataFrame(list(enumerate(every)), "doc_id long, text string")
+    for k in (1, 4):
+        s = sets(every, k)
+        want = components(s)
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in N.near_duplicates(d, k=k).collect()}
+        assert got == {i: (len(s[i]), want[i]) for i in range(len(every))}
+
+
+def test_a_slice_whose_hashes_collide_is_counted_by_its_words(texts, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(tb, "mix64", lambda x: x & np.uint64(3))  # four hashes for all shingles
+    batch = pa.RecordBatch.from_arrays([pa.array(texts[:-2] + texts[-1:] * 2)], names=["text"])
+    s = sets(batch.column(0).to_pylist(), 3)
+    for at, to, data, bounds in tb.slices(batch, "text", 1 << 12, 2):
+        assert at % 2 == 0 and tb.Shingles(data, bounds, 3).tally()[:, 1].tolist() == [len(x) for x in s[at:to]]
+        if (to - at) % 2 == 0:
+            pairs = [(len(a - b), len(b - a), len(a & b)) for a, b in zip(s[at:to:2], s[at + 1 : to : 2], strict=True)]
+            assert [tuple(x) for x in tb.Shingles(data, bounds, 3).tally(2)[:, 1:].tolist()] == pairs
+
+
+def test_large_groups_and_buckets_in_blocks(spark, monkeypatch):
+    """Every frequent key is broadcast, and buckets are cut into blocks of three members."""
+    r = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(400)]
+    base = [r.choice(words, 80).tolist() for _ in range(4)]
+    every = []
+    for i in range(90):
+        w = list(base[i % 4])
+        for j in r.integers(0, 80, int(r.integers(0, 9))):
+            w[j] = f"e{r.integers(0, 3)}"
+        every.append(" ".join(w))
+    every += [every[0]] * 30
+    d = spark.createDataFrame(list(enumerate(every)), "doc_id long, text string").repartition(5)
+    s = sets(every, 5)
+    want = components(s)
+    monkeypatch.setattr(N, "BLOCK", 3)
+    monkeypatch.setattr(N, "join_split", lambda left, right, key, work: join_split(left, right, key, work, 30, 2))
+    got = {r["doc_id"]: r["component_id"] for r in N.near_duplicates(d).collect()}
+    assert got == dict(enumerate(want)) and 4 < len(set(want)) < 90
+
+
 def test_near_copies_of_nothing_and_without_id(spark, empty):
     assert N.near_duplicates(empty).count() == 0
     d = spark.createDataFrame([(None, "a b c d e f"), (1, "a b c d e f"), (2, "A b c d  e f")], "doc_id long, text string")

@@ -14,6 +14,8 @@ from logvista.llm import rans
 from logvista.llm import textbytes as tb
 from logvista.llm.shared import Workspace
 
+from .conftest import thue_morse
+
 
 @pytest.fixture(scope="module")
 def ids(texts):
@@ -35,6 +37,39 @@ def test_pieces_give_the_ids_of_whole_texts():
             assert got[b[i] : b[i + 1]].tolist() == e.tok.encode(t, add_special_tokens=False).ids, t
 
 
+@pytest.mark.parametrize("n", [1024, 2048, 4096, 8192])
+def test_pieces_with_equal_hashes_are_told_apart(n):
+    a, b = thue_morse(n)
+    e = bpe.Encoder(bpe.default_path())
+    for every in ([a], [b, f"{a} {b}", f"x {b}\n{a}"], [a, b, b, a]):  # remembered from before, and both in one batch
+        got, bounds = e.encode(*next(tb.slices(pa.RecordBatch.from_arrays([pa.array(every)], names=["text"]), "text", 1 << 30))[2:])
+        for i, t in enumerate(every):
+            assert got[bounds[i] : bounds[i + 1]].tolist() == e.tok.encode(t, add_special_tokens=False).ids
+
+
+def test_pieces_in_a_cache_of_clashes(monkeypatch):
+    """With eight hashes for all pieces nearly every find is a wrong one."""
+    r = random.Random(2)
+    odd = ["".join(r.choice("ab'1 .,!\né") for _ in range(r.randint(0, 300))) for _ in range(200)]
+    real = tb.span_hashes
+    monkeypatch.setattr(tb, "span_hashes", lambda *x: real(*x) & np.uint64(7 << 61))
+    e = bpe.Encoder(bpe.default_path())
+    for at, to, data, bounds in tb.slices(pa.RecordBatch.from_arrays([pa.array(odd)], names=["text"]), "text", 1 << 12):
+        got, b = e.encode(data, bounds)
+        for i, t in enumerate(odd[at:to]):
+            assert got[b[i] : b[i + 1]].tolist() == e.tok.encode(t, add_special_tokens=False).ids, t
+
+
+def test_files_and_sequences_of_equal_hashes(spark):
+    every = [x for n in (1024, 4096) for x in thue_morse(n)]
+    d = spark.createDataFrame(list(enumerate(every)), "doc_id long, text string").coalesce(1)
+    t = bpe.Encoder(bpe.default_path()).tok
+    crc = {i: zlib.crc32(np.array([*t.encode(x, add_special_tokens=False).ids, 2], "<u4").tobytes()) for i, x in enumerate(every)}
+    files = O.TokenFiles.write(d, Workspace(spark, "t").path("f"))
+    assert {r["id"]: r["ids_crc32"] for r in files.documents().collect()} == crc
+    assert {r["doc_id"]: r["ids_crc32"] for r in P.pack(d, size=8192).collect()} == crc
+
+
 def test_files_round_trip(spark, docs, empty, ids):
     files = O.TokenFiles.write(docs, Workspace(spark, "t").path("f"))
     got = sorted(files.documents().collect(), key=lambda r: (r["start"], r["id"]))
