@@ -100,14 +100,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small(df: DataFrame, most: int) -> bool:
-    """Whether ``df`` has at most ``most`` rows; reads no more than it needs to tell."""
-    return df.limit(most + 1).count() <= most
-
-
-def broadcast_if_small(df: DataFrame, most: int) -> DataFrame:
-    """``df`` marked for broadcast if a count proves it small; otherwise as it is, for an ordinary join."""
-    return F.broadcast(df) if small(df, most) else df
+def broadcast_if_small(df: DataFrame, most: int, most_bytes: int = 1 << 25) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``most`` rows of ``most_bytes`` together, as text; otherwise as it is, for an ordinary join."""
+    if df.limit(most + 1).count() > most:
+        return df
+    size = df.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("n")).first()["n"]
+    return F.broadcast(df) if size <= most_bytes else df
 
 
 def join_split(left: DataFrame, right: DataFrame, key: list[str], work: Workspace, share: int = 1000, least: int = 1000) -> DataFrame:

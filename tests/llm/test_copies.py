@@ -197,6 +197,50 @@ def test_mixture(spark, docs, empty):
     assert X.mixed(empty).count() == 0 and X.mix_plan(X.plan_mix(empty)).count() == 0
 
 
+def test_the_mix_is_the_plan_for_repeated_and_missing_ids(spark):
+    """One id on rows of two sources and of several texts, copies without id, and copies that the cut goes through."""
+    rows = [(1, "a b c d e f g", s) for s in "xy"] + [(1, "a b c d e f", "x"), (2, "p q", "y"), (2, "p q r", "y"), (3, "", "y"), (4, None, None), (5, "k l m", None)]
+    rows += [(None, "a b c d e", "x")] * 7 + [(None, "one two", "z")] * 40 + [(9, "one two three", "z")] * 40 + [(8, " ".join("w" * 30), "big")] * 3
+    d = spark.createDataFrame([(*r, 1, "s") for r in rows], "doc_id long, text string, source string, mix int, src string").coalesce(3)
+    plan = X.mix_plan(X.plan_mix(d)).collect()
+    assert len(plan) == len(rows)
+    for source in {r["source"] for r in plan}:
+        mine = [r for r in plan if r["source"] == source]
+        taken = sum(r["size"] * r["repetitions"] for r in mine)
+        assert abs(taken - mine[0]["target"]) <= max(r["size"] for r in mine) / 2 + 1e-6, source
+    want, got = {}, {}
+    for r in plan:
+        key = (r["id"], r["source"], r["size"])
+        want[key] = want.get(key, 0) + r["repetitions"]
+    out = X.mixed(d)
+    assert out.columns == d.columns
+    for r in out.collect():
+        key = (r["doc_id"], r["source"], len((r["text"] or "").split()))
+        got[key] = got.get(key, 0) + 1
+    assert got == {k: n for k, n in want.items() if n}
+
+
+def test_targets_of_many_sources_in_parts(spark, monkeypatch):
+    """Ranks from several tasks, plans that are not broadcast, and the levels of a plain loop."""
+    r = np.random.default_rng(4)
+    sizes = {f"s{i}" if i else None: int(n) for i, n in enumerate(r.zipf(1.4, 200).clip(0, 3000))}
+    rows = [(i, " ".join("w" * n), s) for i, (s, n) in enumerate(sizes.items())]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for name, value in (("SORTED", 50), ("FEW", 10)):
+        monkeypatch.setattr(X, name, value)
+    names = sorted(sizes, key=lambda s: (s is None, s))
+    weight, cap, total = {s: 1 + i % 3 for i, s in enumerate(names)}, {s: 3 * n for s, n in sizes.items()}, sum(sizes.values())
+    full: set = set()
+    while True:
+        level = (total - sum(cap[s] for s in full)) / max(1, sum(weight[s] for s in names if s not in full))
+        more = {s for s in names if s not in full and cap[s] <= level * weight[s]}
+        if not more:
+            break
+        full |= more
+    got = {x["source"]: x["target"] for x in X.mix_plan(X.plan_mix(d)).collect()}
+    assert got.keys() == sizes.keys() and all(abs(got[s] - (cap[s] if s in full else level * weight[s])) < 1e-6 for s in names)
+
+
 def test_water_filling_caps(spark):
     d = spark.createDataFrame([(i, "w " * n, s) for i, (s, n) in enumerate([("a", 100), ("b", 100), ("c", 1), ("d", 0)])], "doc_id long, text string, source string")
     got = {r["source"]: r["target"] for r in X.mix_plan(X.plan_mix(d)).collect()}
