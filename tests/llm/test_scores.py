@@ -66,29 +66,56 @@ def test_measures_don_t_depend_on_neighbours(texts):
 # --- licences
 
 
+def brute_licences(every, own):
+    """n_words, base places, labels and score by trying every template at every place."""
+    import math
+
+    words = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER)) for t in every]
+    held = [set(w) for w in words]
+    idf = lambda w: math.log((len(every) + 1) / (sum(w in h for h in held) + 0.5))
+    idf = {w: idf(w) for t in (*L.BASE, *own) for w in t.text.split()}
+    for w in words:
+        starts, base, labels, best = [], set(), set(), 0.0
+        for t in (*L.BASE, *own):
+            text, key = t.text.split(), (t.key or t.text).split()
+            at = next(a for a in range(len(text)) if text[a : a + len(key)] == key)
+            for start in range(1 - len(text), len(w)):
+                match = [0 <= start + j < len(w) and w[start + j] == x for j, x in enumerate(text)]
+                whole = sum(idf[x] for x in text)
+                share = 1.0 if all(match) else min(1.0, sum(idf[x] for x, m in zip(text, match, strict=True) if m) / whole) if whole > 0 else 0.0
+                if share >= L.FLOOR:
+                    best = max(best, share)
+                if share >= L.COVER and all(match[at : at + len(key)]):
+                    labels.add(t.label)
+                    if t.base:
+                        starts.append(start)
+                        base.add(t.label)
+        yield len(w), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), best
+
+
 def test_licences_against_brute_force(spark, texts, empty):
+    common = L.Template("common", "the use of any copy is with or without fee", "with or without fee")  # of words that may be in every file
     extra = ["All rights reserved. ALL RIGHTS RESERVED!", "cc-by cc by nc", "CC\nBY", "rights all reserved", "cc", "GNU General Public License, version 3", "the general public", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
-             "permission was hereby granted free of charge to any person obtaining a copy of this software", "K ccK by", "Licensed under the Apache License, Version 2.0"]
-    every = [*texts, *extra]
-    d = spark.createDataFrame([(i, t, 1) for i, t in enumerate(every)] + [(None, "cc by", 2)], "doc_id long, text string, labels int")
-    got = L.scan(d).collect()
-    assert len(got) == len(every) + 1
+             "permission was hereby granted free of charge to any person obtaining a copy of this software", "\u212a cc\u212a by", "Licensed under the Apache License, Version 2.0", common.text, f"so {common.text} then",
+             "the use of a copy is with or without fee", "with or without fee", "the of is with or", "cc by " * 300, "by cc by general public license mit license all rights reserved mit"]
+    extra += [t.text.upper() for t in L.OWN] + [" ".join(w for i, w in enumerate(t.text.split()) if i % 9 != 4) for t in L.OWN] + [t.text.replace(" of ", " off ").replace(" in ", " on ") for t in L.OWN]
+    r = np.random.default_rng(6)
+    words = sorted({w for t in (*L.BASE, *L.OWN) for w in t.text.split()})
+    extra += [" ".join(r.choice(words, 60)) for _ in range(40)] + ["the use of any with or without is fee copy " * 3] * 60  # makes those words common
+    every, own = [*[t if len(t or "") < 5000 else t[:5000] for t in texts], *extra], (*L.OWN, common)
+    d = spark.createDataFrame([(i, t, 1) for i, t in enumerate(every)], "doc_id long, text string, labels int").repartition(4)
+    got = L.scan(d, own=own).collect()
+    assert len(got) == len(every)
     by = {r["doc_id"]: r for r in got}
-    for i, t in enumerate(every):
-        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER))
-        starts, labels = [], set()
-        for b in L.BASE:
-            p = b.text.split()
-            found = [j for j in range(len(w)) if w[j : j + len(p)] == p]
-            starts += found
-            labels |= {b.label} if found else set()
+    for i, want in enumerate(brute_licences(every, own)):
         r = by[i]
-        want = (len(w), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(labels)))
-        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == want, t
-        assert labels <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1 and (r["score"] == 1 or not labels)
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"], r["labels"]) == want[:-1], every[i]
+        assert abs(r["score"] - want[-1]) < 1e-8 and r["score"] <= 1, (every[i], r, want)
     n = len(texts)
-    assert by[n + 1]["labels"] == "cc-by,cc-by-nc" and by[n + 5]["labels"] == "gpl,gpl-3.0" and by[n + 7]["labels"] == "mit" and by[n + 8]["labels"] == "" and by[n + 10]["labels"] == "apache-2.0"
-    assert 0 < by[n + 8]["score"] < 1 and by[0]["score"] == 0 and by[None]["n_base"] == 1
+    assert by[n + 1]["labels"] == "cc-by,cc-by-nc" and by[n + 5]["labels"] == "gpl,gpl-3.0" and by[n + 8]["labels"] == "" and by[n + 10]["labels"] == "apache-2.0"
+    assert "common" in by[n + 11]["labels"] and by[n + 12]["score"] == 1 and by[0]["score"] == 0 and by[n + 9]["n_base"] == 0
+    repeated = L.scan(spark.createDataFrame([(None, "cc by", 2), (3, "cc by", 2), (3, "cc by", 2), (4, None, 2)], "doc_id long, text string, labels int")).collect()
+    assert sorted((r["doc_id"] or 0, r["n_base"]) for r in repeated) == [(0, 1), (3, 1), (3, 1), (4, 0)]
     assert L.scan(empty).count() == 0
 
 
