@@ -194,9 +194,9 @@ def test_secrets_of_any_length_and_label():
         for v in values:
             text = f"see {label}{v}. Then"
             at = text.index(v)
-            assert P.find(text) == [(at, at + len(v), "secret", v)], (label, len(v))
+            assert P.find(text) == [(at, at + len(v), "secret", v, 0)], (label, len(v))
     assert P.find("token: short, mytoken=abcdefghij and token: abc.déf") == []
-    new = P.surrogate("secret", jwt, 0, b"k")
+    new = P.surrogate("secret", jwt, 0, 0, b"k")
     assert [len(x) for x in new.split(".")] == [len(x) for x in jwt.split(".")] and not set(new.split(".")) & set(jwt.split("."))
 
 
@@ -205,57 +205,101 @@ def test_forms_of_mentions():
         "email": ["émile@mail.org", "_ann@mail.org", "ann@bücher.de", "иван@почта.рф", "张伟@例子.公司", "a@b.xn--p1ai", "a@b1.c2.d3.e4.f5.g6.h7.org"],
         "phone": ["+33 1 23 45 67 89", "+33.1.23.45.67.89", "+49 30 1234567", "+49 (30) 1234567", "+14155552671", "+4915112345678", "+1 (555) 555-2485", "555-555-2485"],
         "card": ["3782 822463 10005", "3714-496353-98431", "2223 0031 2200 3222", "2720992222222229", "4222222222222"],
+        "ipv6": ["2001:db8::1", "fe80::1ff:fe23:4567:890a", "2001:0DB8:85A3:0000:0000:8A2E:0370:7334", "::1"],
+        "iban": ["GB82 WEST 1234 5698 7654 32", "DE89370400440532013000", "FR14 2004 1010 0505 0001 3M02 606"], "ssn": ["123-45-6789"],
     }
     for kind, values in forms.items():
         for v in values:
             text = f"see {v}, then"
-            assert P.find(text) == [(4, 4 + len(v), kind, P.find(text)[0][3])], v
-            new = P.render(v, kind, P.surrogate(kind, P.find(text)[0][3], 0, b"k"))
+            assert [f[:3] for f in P.find(text)] == [(4, 4 + len(v), kind)], v
+            new = P.render(v, kind, P.surrogate(kind, P.find(text)[0][3], 0, 0, b"k"))
             assert new != v and not set(new) & set("张伟例子公司иванпочтéü"), v
             assert kind != "card" or P.luhn(re.sub(r"\D", "", new)) == 0
+            assert kind != "iban" or P.mod97(new.replace(" ", "")) == 1
+            assert kind == "ipv6" or [c.isalnum() for c in new] == [c.isalnum() for c in v] or kind in ("email",)
     assert P.find("on 20261126131800, 1+12345678, 3782 822463 10006, +33 1 23 and 2223 0031 2200 3223") == []
+    for clean in ("ISBN 0-306-40615-2 or 978-0-306-40615-7", "ISBN 978 030 640", "2026-0104-1234", "1 234 567 890 123", "12:30:45 and 10:20", "GB82 WEST 1234 5698 7654 33", "std::vector a::b", "rows 100 200 300 400 500", "v1.2.3.4.5"):
+        assert P.find(clean) == [], clean
 
 
 def test_a_card_needs_its_check_digit():
     for text in ("4111 1111 1111 1112", "4111-1111-1111-1112", "4111111111111112", "id 5500000000000005 of 10"):
         assert P.find(text) == []
     text = "4111 1111 1111 1111 200 people, 5500000000000004, 6304 0000 0000 0000 000 and 4111 1111 1111 1111 200 555 1234"
-    found = [(k, text[a:b]) for a, b, k, _ in P.find(text)]
+    found = [(k, text[a:b]) for a, b, k, *_ in P.find(text)]
     assert found == [("card", "4111 1111 1111 1111"), ("card", "5500000000000004"), ("card", "6304 0000 0000 0000 000"), ("card", "4111 1111 1111 1111"), ("phone", "200 555 1234")]
 
 
-def test_collisions_are_drawn_again(spark, monkeypatch):
-    """A type with few values: nine one-digit phones would soon meet."""
-    rows = [("ip", f"10.0.0.{i}") for i in range(40)]
-    real = P.surrogate
-    crowded = lambda kind, entity, attempt, key: real(kind, entity, attempt, key).split(".")[0]
-    monkeypatch.setattr(P, "surrogate", crowded)
-    first = {e: crowded("ip", e, 0, b"k") for _, e in rows}
-    assert len(set(first.values())) < 40
-    df = spark.createDataFrame(rows, "kind string, entity string")
-    got = [(r["entity"], r["new"], r["attempt"]) for r in local_settle(P, df, b"k", crowded, Workspace(spark, "t"))]
-    assert len({n for _, n, _ in got}) == 40 and any(a for *_, a in got)
-
-
-def local_settle(module, df, key, draw, work):
-    """``settle`` with the drawing function sent to the workers."""
-
-    def attempt(k):
-        def run(batches):
-            for b in batches:
-                rows = b.to_pylist()
-                for r in rows:
-                    r["attempt"] += r.pop("bad")
-                    r["new"] = draw(r["kind"], r["entity"], r["attempt"], k)
-                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in (("kind", pa.string()), ("entity", pa.string()), ("attempt", pa.int32()), ("new", pa.string()))], names=["kind", "entity", "attempt", "new"])
-
-        return run
-
-    old, module._attempt = module._attempt, attempt
-    try:
-        return module.settle(df, key, work).collect()
-    finally:
-        module._attempt = old
+def test_names_are_one_person_under_any_title(spark):
+    rows = [
+        "Dr John Smith met Mr. John Smith. Later Smith and JOHN left; smith and Johnson stayed.", "Mr John Paul George Ringo Smith", "Prof Anna Lee, Mrs Anna Lee",
+        "Frau Müller über Herr Jean-Luc Smith", "Dr John Smith", "Mr. Ringo", "Anna and Lee, untitled", "Dr über, Mrs.",
+    ]
+    d = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in P.replace_private(d, b"k").collect()}
+    a = re.fullmatch(r"Dr (\w+) (\w+) met Mr\. (\w+) (\w+)\. Later (\w+) and (\w+) left; smith and Johnson stayed\.", out[0])
+    john, smith = a[1], a[2]
+    assert (a[3], a[4], a[5], a[6]) == (john, smith, smith, john.upper()) and john != smith and not {"John", "Smith"} & {john, smith}
+    assert not john.endswith("a") and out[4] == f"Dr {john} {smith}"  # the gender that another document tells
+    b = re.fullmatch(r"Mr (\w+) (\w+) (\w+) (\w+) (\w+)", out[1])
+    assert (b[1], b[5]) == (john, smith) and len({*b.groups()}) == 5 and not {"Paul", "George", "Ringo"} & {*b.groups()} and out[5] == f"Mr. {b[4]}"
+    c = re.fullmatch(r"Prof (\w+) (\w+), Mrs (\w+) (\w+)", out[2])
+    assert c[1] == c[3] and c[1].endswith("a") and c[2] == c[4]
+    assert re.fullmatch(rf"Frau (\w+) über Herr (\w+)-(\w+) {smith}", out[3]) and "Müller" not in out[3] and out[6] == rows[6] and out[7] == rows[7]
+
+
+def settled(out, texts):
+    """(kind, entity) -> surrogates as they stand in the texts, found by what stands between mentions."""
+    new = {}
+    for t, o in zip(texts, out, strict=True):
+        at, rest = 0, o or ""
+        found = P.find(t or "")
+        for i, (a, b, kind, entity, _) in enumerate(found):
+            between = t[at:a]
+            assert rest.startswith(between)
+            rest, at = rest[len(between) :], b
+            after = t[b : found[i + 1][0]] if i + 1 < len(found) else t[b:]
+            end = rest.index(after) if after and i + 1 < len(found) else len(rest) - len(after)
+            new.setdefault((kind, entity), set()).add(re.sub(r"\W", "", rest[:end]).casefold())
+            rest = rest[end:]
+        assert rest == (t or "")[at:]
+    return new
+
+
+def test_surrogates_of_all_documents_by_brute_force(spark):
+    """One surrogate for each entity, different ones for different entities, none of them an entity, and nothing else changed."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    people = [f"{t} {g} {f}, phone 555 {n:04d} {n:04d}" for n, (t, g, f) in enumerate((t, g, f) for t in ("Dr", "Mr", "Mrs") for g in ("Ada", "Bo", "Cy") for f in ("Roe", "Poe", "Ada"))]
+    docs = docs.union(spark.createDataFrame([(10**6 + i, p) for i, p in enumerate(people)], "doc_id long, text string"))
+    rows = sorted(docs.collect(), key=lambda r: r["doc_id"])
+    out = {r["doc_id"]: r for r in P.replace_private(docs, b"k").collect()}
+    new = settled([out[r["doc_id"]]["text"] for r in rows], [r["text"] for r in rows])
+    assert len(new) > 30 and all(len(v) == 1 for v in new.values())
+    for kind in {k for k, _ in new}:
+        mine = {e: next(iter(v)) for (k, e), v in new.items() if k == kind}
+        assert len(set(mine.values())) == len(mine) and not {re.sub(r"\W", "", e) for e in mine} & set(mine.values()), kind
+    for r in rows:
+        assert out[r["doc_id"]]["n_entities"] == len(P.find(r["text"] or ""))
+
+
+def test_surrogates_of_a_type_that_is_used_up_grow(spark):
+    """All thousand values of three digits are entities, so that every surrogate has to be longer."""
+    rows = [("phone", f"{i:03d}", 0) for i in range(1000)] + [("ip", f"10.0.0.{i}", 0) for i in range(40)]
+    got = P.settle(spark.createDataFrame(rows, "kind string, entity string, gender int"), b"k", Workspace(spark, "t")).collect()
+    new = [(r["kind"], r["new"]) for r in got]
+    assert len(new) == len(set(new)) == len(rows) and not {(k, e) for k, e, _ in rows} & set(new)
+    phones = [r for r in got if r["kind"] == "phone"]
+    assert all(len(r["new"]) > 3 and r["attempt"] >= 4 for r in phones)
+    assert P.render("5-55", "phone", "123456") == "1-23456" and P.surrogate("ip", "10.0.0.1", 0, 9, b"k").startswith("2001:db8:")
+
+
+def test_surrogates_of_nothing_and_of_long_texts(spark, empty):
+    assert P.replace_private(empty, b"k").count() == 0
+    long = "word " * 200_000 + "ann@mail.org" + " word" * 200_000
+    rows = [(1, None), (2, ""), (3, long), (3, long), (None, long)]
+    out = P.replace_private(spark.createDataFrame(rows, "doc_id long, text string"), b"k").collect()
+    assert sorted(r["n_entities"] for r in out) == [0, 0, 1, 1, 1] and {r["text"] for r in out if r["doc_id"] in (1, 2)} == {None, ""}
+    assert len({r["text"] for r in out if r["n_entities"]}) == 1 and all("ann@" not in (r["text"] or "") for r in out)
 
 
 # --- captures
