@@ -6,7 +6,9 @@ bias, with an error that exceeds ``ERROR`` deviations very seldom. In a block, t
 their k-th score is a bar, and every vector whose estimate plus error bound reaches it is scored exactly as well.
 
 Queries are a stated set of rows, so all rows meet them in blocks: what is crossed is a table of query blocks with a table
-of vector blocks, each block one row, without a shuffle of vectors.
+of vector blocks, each block one row of about ``BYTES``, by broadcast or as a product of partitions, so that no key, and not
+the dimension either, gathers rows in one task. A block pair is a few matrix operations. Results of different blocks are cut
+to the best ones of a query in each task before they meet.
 """
 
 from __future__ import annotations
@@ -21,8 +23,10 @@ from pyspark.sql import functions as F
 
 from .shared import Workspace, read_table
 
-#: Deviations of the estimate's error that a vector is given the benefit of; rows of a block of vectors and of queries.
+#: Deviations of the estimate's error that a vector is given the benefit of; rows of a block of vectors and of queries, at most.
 ERROR, VECTORS, QUERIES = 3.0, 4096, 512
+#: Bytes of the vectors of a block, and of those whose exact scores are computed at once, about.
+BYTES = 1 << 21
 _BLOCK = "dim int, n int, ids binary, vectors binary, codes binary, scalars binary"
 
 
@@ -65,9 +69,10 @@ def _blocks(most: int):
                 x = flat[begin[of][:, None] + np.arange(dim)].astype(np.float64)
                 good = np.isfinite(x).all(axis=1) & (x != 0).any(axis=1)
                 x, own = x[good], ids[of][good]
-                for a in range(0, len(x), most):
-                    held.setdefault(int(dim), []).append((own[a : a + most], x[a : a + most]))
-                    if sum(len(i) for i, _ in held[int(dim)]) >= most:
+                fit = max(1, min(most, BYTES // (8 * int(dim))))
+                for a in range(0, len(x), fit):
+                    held.setdefault(int(dim), []).append((own[a : a + fit], x[a : a + fit]))
+                    if sum(len(i) for i, _ in held[int(dim)]) >= fit:
                         yield out(int(dim))
         for dim in list(held):
             yield out(dim)
@@ -76,53 +81,61 @@ def _blocks(most: int):
 
 
 def cosines(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Cosine of one vector with each row, in double precision; equal rows get equal results wherever they stand."""
-    with np.errstate(over="ignore", invalid="ignore"):
-        dot, norms = (x * q).sum(axis=1), np.sqrt((x * x).sum(axis=1)) * np.sqrt((q * q).sum())
-    if not np.isfinite(dot).all() or not np.isfinite(norms).all() or not norms.all():
-        x, q = x / np.abs(x).max(axis=1, keepdims=True), q / np.abs(q).max()
-        dot, norms = (x * q).sum(axis=1), np.sqrt((x * x).sum(axis=1)) * np.sqrt((q * q).sum())
-    return dot / norms
+    """Cosine of each row of q (or of the one vector q) with that row of x, in double precision; equal pairs get equal results wherever they stand."""
+    with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+        dot, norms = (x * q).sum(axis=-1), np.sqrt((x * x).sum(axis=-1)) * np.sqrt((q * q).sum(axis=-1))
+        out = dot / norms
+    if len(bad := np.flatnonzero(~(np.isfinite(dot) & np.isfinite(norms) & (norms > 0)))):
+        x, q = x[bad], np.broadcast_to(q, x.shape)[bad]
+        x, q = (v / np.abs(v).max(axis=-1, keepdims=True) for v in (x, q))
+        out[bad] = (x * q).sum(axis=-1) / (np.sqrt((x * x).sum(axis=-1)) * np.sqrt((q * q).sum(axis=-1)))
+    return out
 
 
-def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    return np.lexsort((ids, -scores))[:k]
+def _exact(q: np.ndarray, x: np.ndarray, qi: np.ndarray, xi: np.ndarray) -> np.ndarray:
+    step = max(1, BYTES // (8 * x.shape[1]))
+    return np.concatenate([cosines(q[qi[a : a + step]], x[xi[a : a + step]]) for a in range(0, len(qi), step)] or [np.zeros(0)])
 
 
 def search_block(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, codes: np.ndarray, scalars: np.ndarray, k: int):
-    """For each query, the block's k best other vectors: (query id, id, exact cosine)."""
+    """(query id, id, exact cosine) of each query's k best other vectors of the block."""
     dim = x.shape[1]
     signs = np.unpackbits(codes, axis=1, count=dim).astype(np.float32) * 2 - 1
     estimate = (_units(q) @ rotation(dim).T) @ signs.T / np.sqrt(np.float32(dim)) / scalars
     bound = ERROR * np.sqrt(np.maximum(0, 1 - scalars**2)) / scalars / np.sqrt(max(1, dim - 1)) + 1e-5
+    own = q_ids[:, None] == ids[None, :]
+    estimate[own] = -np.inf
     first = min(len(ids), 4 * k + 1)
-    for i in range(len(q_ids)):
-        own = ids != q_ids[i]
-        start = np.argpartition(-estimate[i], first - 1)[:first]
-        start = start[own[start]]
-        exact = cosines(q[i], x[start])
-        bar = np.sort(exact)[-k] if len(exact) >= k else -np.inf
-        among = np.flatnonzero(own & (estimate[i] + bound >= bar))
-        among = np.union1d(among, start)
-        exact = cosines(q[i], x[among])
-        top = _best(ids[among], exact, k)
-        yield q_ids[i], ids[among][top], exact[top]
+    start = np.argpartition(-estimate, first - 1, axis=1)[:, :first]
+    rows = np.arange(len(q_ids))[:, None]
+    exact = _exact(q, x, np.repeat(rows, first), start.ravel()).reshape(start.shape)
+    exact[own[rows, start]] = -np.inf
+    bar = np.partition(exact, -k, axis=1)[:, -k] if first >= k else np.full(len(q_ids), -np.inf)
+    among = estimate + bound >= bar[:, None]
+    among[rows, start] = True
+    among &= ~own
+    qi, xi = np.nonzero(among)
+    exact = _exact(q, x, qi, xi)
+    order = np.lexsort((ids[xi], -exact, qi))
+    qi, xi, exact = qi[order], xi[order], exact[order]
+    top = np.arange(len(qi)) - np.searchsorted(qi, qi) < k
+    return q_ids[qi[top]], ids[xi[top]], exact[top]
 
 
 def _search(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
-                dim = r["dim"]
-                found = list(search_block(
-                    np.frombuffer(r["q_ids"], np.int64), np.frombuffer(r["q_vectors"]).reshape(-1, dim), np.frombuffer(r["ids"], np.int64),
-                    np.frombuffer(r["vectors"]).reshape(-1, dim), np.frombuffer(r["codes"], np.uint8).reshape(r["n"], -1), np.frombuffer(r["scalars"], np.float32), k,
-                ))
-                query = np.repeat(np.array([f[0] for f in found], np.int64), [len(f[1]) for f in found])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(query), pa.array(np.concatenate([f[1] for f in found])), pa.array(np.concatenate([f[2] for f in found]))],
-                    names=["query_id", "vec_id", "score"],
-                )
+            for i in range(batch.num_rows):
+                r = {c: batch.column(c)[i] for c in batch.schema.names}
+                dim, n = r["dim"].as_py(), r["n"].as_py()
+                if dim != r["q_dim"].as_py():
+                    continue
+                array = lambda c, t=np.float64: np.frombuffer(r[c].as_buffer(), t)  # noqa: B023, E731
+                found = search_block(
+                    array("q_ids", np.int64), array("q_vectors").reshape(-1, dim), array("ids", np.int64), array("vectors").reshape(-1, dim),
+                    array("codes", np.uint8).reshape(n, -1), array("scalars", np.float32), k,
+                )
+                yield pa.RecordBatch.from_arrays([pa.array(f) for f in found], names=["query_id", "vec_id", "score"])
 
     return run
 
@@ -144,8 +157,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "v
 
     v = blocks(vectors, VECTORS, "vectors")
     q = blocks(queries, QUERIES, "queries").select(F.col("dim").alias("q_dim"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    cells = max(1, vectors.sparkSession.sparkContext.defaultParallelism)
-    met = v.repartition(cells).crossJoin(q).where("dim = q_dim")
+    tasks = max(vectors.sparkSession.sparkContext.defaultParallelism, -(-v.count() // 16))
+    met = v.repartition(tasks).crossJoin(q)  # blocks of a stated query set; dimensions are compared where the blocks are
     found = met.mapInArrow(_search(k), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

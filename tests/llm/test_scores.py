@@ -145,6 +145,32 @@ def test_neighbours_of_every_kind_of_vector(spark):
     assert A.nearest(d.limit(0), d.limit(0)).count() == 0
 
 
+def test_recall_at_two_sizes_and_the_plan(spark, monkeypatch, capsys):
+    """Blocks are crossed by partitions once queries are too many for a broadcast, never by the dimension."""
+    monkeypatch.setattr(A, "BYTES", 1 << 15)
+    for n in (2000, 8000):
+        x = np.random.default_rng(n).normal(size=(n, 48))
+        d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(6)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1" if n == 2000 else "10485760")
+        try:
+            found = A.nearest(d, d.where("vec_id % 50 = 0"))
+            got = {}
+            for r in found.collect():
+                got.setdefault(r["query_id"], set()).add(r["vec_id"])
+            plan = found._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert ("CartesianProduct" in plan) == (n == 2000) and "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
+        hits = 0
+        for q in range(0, n, 50):
+            s = A.cosines(x[q], x)
+            s[q] = -9
+            hits += len(got[q] & set(np.argsort(-s)[:5].tolist()))
+        with capsys.disabled():
+            print(f"\nrecall of {n} vectors: {hits / (n / 50 * 5):.4f}")
+        assert hits / (n / 50 * 5) >= 0.99
+
+
 def test_rotation_and_huge_vectors():
     q = A.rotation(16)
     assert np.allclose(q @ q.T, np.eye(16), atol=1e-5)
