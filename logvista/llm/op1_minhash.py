@@ -5,7 +5,7 @@ second gives coordinate k after the scattered values were shifted round the ring
 minimum per coordinate yields the signature, without a family of K hash functions.
 
 Bands of the signature propose pairs; each pair is settled on the full shingle sets, whose words are compared byte by byte
-wherever hashes agree. A bucket is never expanded into all its pairs: its members are first compared with two pivots, then
+wherever hashes agree. A bucket is never expanded into all its pairs: its members are first compared with one pivot, then
 only members that ended in different components are compared with each other. Before a pair is made, set sizes and one bit
 of each coordinate have to allow the similarity, with a margin of ``MARGIN`` deviations; in the second round that is done
 with ``FINE`` coordinates, in the first bucket that the two share, and in blocks of ``BLOCK`` members.
@@ -204,8 +204,12 @@ def _components(own: DataFrame, work: Workspace, k: int, percent: int, bands: in
     # From here on a text is known by the row that represents it.
     texts_of = placed.where("bands is not null").select(F.col("row").alias("id"), "n", "bands", "bits")
     rows_ = texts_of.select("id", F.explode("bands").alias("key"))
-    shared = work.keep(rows_.groupBy("key").agg(F.min("id").alias("p0"), F.max("id").alias("p1")).where("p0 < p1"), "pivots")
-    shared = work.keep(join_split(rows_, shared, ["key"], work), "buckets")  # buckets of several texts only
+    sizes = work.keep(rows_.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
+    shared = work.keep(join_split(rows_, sizes, ["key"], work), "buckets")  # buckets of several texts only
+    # The pivot of a bucket is the text with most neighbours in all its buckets, so that the same few texts are pivots of most.
+    degree = shared.groupBy("id").agg(F.sum("size").alias("degree"))
+    pivots = shared.join(degree, "id").groupBy("key").agg(F.max(F.struct("degree", "id")).alias("top"))
+    pivots = work.keep(pivots.select("key", F.col("top.id").alias("p")), "pivots")
 
     def side(x: str) -> DataFrame:
         return texts_of.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
@@ -214,7 +218,7 @@ def _components(own: DataFrame, work: Workspace, k: int, percent: int, bands: in
         """Pairs with what ``of`` tells of each; a pivot is in very many pairs."""
         return join_split(join_split(pairs, of("b"), ["b"], work), of("a"), ["a"], work)
 
-    pairs = shared.select("id", F.explode(F.array("p0", "p1")).alias("p")).where("id <> p").select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b"))
+    pairs = join_split(shared.select("id", "key"), pivots, ["key"], work).where("id <> p").select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b"))
     pairs = work.keep(pairs.distinct(), "proposed")
     pairs = work.keep(paired(pairs, side).where(near_enough("bits", bands * rows, percent)).select("a", "b"), "pairs")
     needed = work.keep(shared.select("id").distinct(), "needed")
