@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import textbytes as tb
 from .components import connected_components
-from .shared import SLICE_BYTES, Workspace, free_name, join_split, read_table
+from .shared import SLICE_BYTES, Workspace, free_name, join_split, likely, read_table
 
 #: Bands and rows of each: a pair at similarity 0.8 is missed with probability (1 - 0.8^7)^64, which is 3e-7.
 BANDS, ROWS = 64, 7
@@ -31,8 +31,6 @@ BANDS, ROWS = 64, 7
 MARGIN = 5.5
 #: Coordinates of which a bit is kept for the second round.
 FINE = 4096
-#: Bits of the map that keeps most texts which no pair needs from being shuffled, at most: 8 MB, whatever the corpus.
-MAP_BITS = 1 << 26
 #: Members of a bucket that meet in one task in the second round; texts of a task that makes sketches for it.
 BLOCK, TEXTS = 4096, 500
 
@@ -124,20 +122,6 @@ def near_enough(bits: str, n: int, percent: int) -> F.Column:
     return sizes & (differ <= most_differing(percent, n))
 
 
-def likely(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows whose id may be among ``wanted``: all that are, and few others while ``wanted`` is not much larger than the map.
-
-    The map of hashed ids is broadcast in pieces of 4 KB; MAP_BITS bounds it.
-    """
-    bits = min(MAP_BITS, max(1 << 15, 1 << (16 * wanted.count()).bit_length()))
-    place = F.pmod(F.xxhash64("id"), F.lit(bits)) + 1
-    maps = wanted.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("map"))
-    bit = F.bitmap_bit_position(place)
-    byte = F.conv(F.hex(F.substring("map", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
-    met = rows.join(F.broadcast(maps), F.bitmap_bucket_number(place) == F.col("piece"))
-    return met.where(F.getbit(byte, (bit % 8).cast("int")) == 1).select(*rows.columns)
-
-
 def _settle(k: int, numerator: int, denominator: int):
     """Of rows (a, b, text_a, text_b), the pairs whose full sets are similar enough."""
 

@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 #: Bytes of text that are worked on at once.
 SLICE_BYTES = 1 << 19
+#: Bits of a map of wanted ids (``likely``), at most: 8 MB, whatever the corpus.
+MAP_BITS = 1 << 26
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -125,3 +127,17 @@ def join_split(left: DataFrame, right: DataFrame, key: list[str], work: Workspac
     hot = F.broadcast(hot)
     frequent = F.broadcast(work.keep(right.join(hot, key, "left_semi"), "frequent"))
     return left.join(frequent, key).unionByName(left.join(hot, key, "left_anti").join(right, key))
+
+
+def likely(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose id may be among ``wanted``: all that are, and few others while ``wanted`` is not much larger than the map.
+
+    The map of hashed ids is broadcast in pieces of 4 KB; MAP_BITS bounds it.
+    """
+    bits = min(MAP_BITS, max(1 << 15, 1 << (16 * wanted.count()).bit_length()))
+    place = F.pmod(F.xxhash64("id"), F.lit(bits)) + 1
+    maps = wanted.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("map"))
+    bit = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("map", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    met = rows.join(F.broadcast(maps), F.bitmap_bucket_number(place) == F.col("piece"))
+    return met.where(F.getbit(byte, (bit % 8).cast("int")) == 1).select(*rows.columns)

@@ -338,38 +338,63 @@ def test_canonical_urls(spark):
     assert got == ["a.org/x"] * 4 + ["a.org/x?a=1&b=2", "a.org:8080/x", "nonsense", None]
 
 
-def test_revisits(spark):
+def test_revisits(spark, monkeypatch):
     ok = {"etag": '"1"', "content-type": "text/html", "x": "old", "last-modified": "Mon"}
+    not_modified, same_payload = (f"http://netpreserve.org/warc/1.1/revisit/{x}" for x in ("server-not-modified", "identical-payload-digest"))
     rows = [
         (1, "http://a.org/", 10, "response", 200, ok, "one"), (2, "https://www.a.org", 20, "response", 200, ok | {"etag": '"2"'}, "two"), (3, "http://a.org", 30, "response", 404, {}, "gone"),
         (10, "http://a.org", 15, "revisit", 304, {"etag": 'W/"1"', "x": "new", "content-type": "none"}, None), (11, "http://a.org", 25, "revisit", 304, {"etag": '"1"'}, None),
         (12, "http://a.org", 10, "revisit", 304, {"etag": '"1"'}, None), (13, "http://b.org", 99, "revisit", 304, {"etag": '"1"'}, None), (14, "http://a.org", 99, "revisit", 304, {"last-modified": "Mon"}, None),
         (15, "http://a.org", 99, "revisit", 304, {}, None), (16, "http://a.org", 99, "revisit", 304, None, None), (17, None, 99, "revisit", 304, {}, None), (18, "http://a.org", 20, "revisit", 304, {"etag": '"1"'}, None),
         (4, "http://t.org", 5, "response", 200, ok, "low"), (5, "http://t.org", 5, "response", 200, ok, "high"), (19, "http://t.org", 6, "revisit", 304, {"etag": '"1"'}, None), (19, "http://t.org", 6, "revisit", 304, {"etag": '"1"'}, None),
+        (20, "http://t.org", 9, "revisit", 200, {"etag": '"1"'}, None), (6, "http://e.org", 1, "response", 200, ok, ""), (21, "http://e.org", 2, "revisit", 304, ok, None),
     ]
-    d = spark.createDataFrame(rows, W.RECORDS).withColumn("key", F.lit(1)).withColumn("outcome", F.lit(2))
+    rows = [(*r[:5], None, r[5], None if r[6] is None else r[6].encode()) for r in rows]
+    rows += [(22, "http://t.org", 9, "revisit", 200, not_modified, {"etag": '"1"'}, None), (23, "http://t.org", 9, "revisit", 304, same_payload, {"etag": '"1"'}, None)]
+    # A URL of very many captures over time, one of them far off
+    rows += [(100 + i, "http://hot.org", i if i < 299 else 10**15, "response" if i % 50 == 0 else "revisit", 200 if i % 50 == 0 else 304, None, {"etag": f'"{i // 50}"'}, b"x%d" % i if i % 50 == 0 else None) for i in range(300)]
+    d = spark.createDataFrame(rows, W.RECORDS).withColumn("key", F.lit(1)).withColumn("outcome", F.lit(2)).repartition(3)
+    monkeypatch.setattr(W, "FREQUENT", 100)
+    monkeypatch.setattr(W, "SHARE", 10)
     got = W.resolve_revisits(d).collect()
     by = {r["record_id"]: r for r in got}
-    assert {k: (r["outcome"], r["response_id"]) for k, r in by.items()} == {
+    assert {k: (r["outcome"], r["response_id"]) for k, r in by.items() if k < 100} == {
         10: ("resolved", 1), 11: ("mismatch", 2), 12: ("missing", None), 13: ("missing", None), 14: ("resolved", 2), 15: ("unvalidated", 2), 16: ("unvalidated", 2), 18: ("resolved", 1), 19: ("resolved", 5),
+        21: ("resolved", 6), 22: ("resolved", 5),
     }
-    assert len(got) == 10 and by[10]["headers"] == ok | {"etag": 'W/"1"', "x": "new"} and by[10]["body"] == "one" and by[11]["body"] is None
+    hot = {k: r for k, r in by.items() if k >= 100}
+    assert len(hot) == 294 and all(r["response_id"] == 100 + (k - 100) // 50 * 50 and r["body"] == b"x%d" % ((k - 100) // 50 * 50) for k, r in hot.items())
+    assert len(got) == 12 + 294 and by[10]["headers"] == ok | {"etag": 'W/"1"', "x": "new"} and by[10]["body"] == b"one" and by[11]["body"] is None and by[21]["body"] == b""
     assert W.resolve_revisits(d.limit(0)).count() == 0
 
 
 def test_warc_files(spark, tmp_path):
     import gzip
 
-    caps = [{"url": "http://a.org/", "date": "2026-01-01T00:00:00Z", "kind": "response", "status": 200, "headers": {"etag": '"1"'}, "body": "é\r\n\r\nWARC/1.1 inside"},
-            {"url": "http://a.org/", "date": "2026-01-02T00:00:00Z", "kind": "revisit", "status": 304, "headers": {"etag": '"1"'}, "body": None}]
+    caps = [{"url": "http://a.org/", "date": "2026-01-01T00:00:00Z", "kind": "response", "status": 200, "profile": None, "headers": {"etag": '"1"'}, "body": "é\r\n\r\nWARC/1.1 inside".encode() + b"\xff\x00"},
+            {"url": "http://a.org/", "date": "2026-01-02T00:00:00Z", "kind": "revisit", "status": 304, "profile": "http://netpreserve.org/warc/1.1/revisit/server-not-modified", "headers": {"etag": '"1"'}, "body": None}]
     raw = W.build(caps)
     assert list(W.parse(raw)) == caps and list(W.parse(gzip.compress(W.build(caps[:1])) + gzip.compress(W.build(caps[1:])))) == caps
     (tmp_path / "x.warc").write_bytes(raw)
+    (tmp_path / "empty.warc").write_bytes(b"")
     r = W.resolve_revisits(W.read_warc(spark, str(tmp_path))).collect()
     assert [(x["outcome"], x["body"]) for x in r] == [("resolved", caps[0]["body"])]
-    for bad in (raw[:40], raw[:-20]):
+    for bad in (raw[:40], raw[:-20], b"junk\r\n" + raw, raw + b"junk"):
         try:
             list(W.parse(bad))
-            raise AssertionError
+            raise AssertionError(bad)
         except ValueError:
             pass
+
+
+def test_warc_headers_and_chunks():
+    chunked = b"4\r\nWiki\r\n5;x=1\r\npedia\r\n0\r\n\r\n"
+    head = lambda body: [{"url": "u", "date": "d", "kind": "response", "status": 200, "profile": None, "headers": {"transfer-encoding": "chunked"}, "body": body}]
+    (c,) = W.parse(W.build(head(chunked)))
+    assert c["body"] == b"Wikipedia" and c["headers"] == {}
+    (c,) = W.parse(W.build(head(b"not chunked")))
+    assert c["body"] == b"not chunked" and c["headers"] == {"transfer-encoding": "chunked"}
+    http = b"HTTP/1.1 200 OK\r\nLink: <a>\r\nSet-Cookie: a=1\r\nLink: <b>\r\nSet-Cookie: b=2\r\nX: long\r\n  value\r\n\r\nbody"
+    raw = b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: %d\r\n\r\n" % len(http) + http + b"\r\n\r\nWARC/1.0\r\nWARC-Type: request\r\nContent-Length: 2\r\n\r\nxx\r\n\r\n"
+    (c,) = W.parse(raw)
+    assert c["headers"] == {"link": "<a>, <b>", "set-cookie": "a=1\nb=2", "x": "long value"} and c["body"] == b"body" and c["url"] == "" and c["date"] is None
