@@ -208,25 +208,37 @@ def _rows(score: Additive | None):
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> Additive:
-    """A model of ``label_col``, from at most ``sample`` labelled rows whose id is not held out (see ``is_held_out``)."""
+    """A model of ``label_col``, from at most ``sample`` labelled texts whose id is not held out (see ``is_held_out``).
+
+    Labels other than 0 and 1 and rows without id are left out; of labels that contradict each other for one id, 1 counts.
+    Of an id that stands on several rows the text with the smallest hash counts, so that no more than ``sample`` rows reach
+    the driver. Null texts count as empty and long ones are read whole. Without labels the model says a half for every text.
+    """
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("double").alias("y")).where("id is not null and y in (0, 1)")
     known = known.where(~is_held_out(F.col("id"))).groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(sample)
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = own.join(F.broadcast(known), "id").mapInArrow(_rows(None), "id long, y double, out array<double>")  # ``sample`` rows at most on either side
+    own = own.join(F.broadcast(known), "id").groupBy("id", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    rows = own.mapInArrow(_rows(None), "id long, y double, out array<double>")  # ``sample`` rows at most
     got = rows.orderBy("id").toPandas()
     x = np.array(got["out"].tolist(), np.float64).reshape(-1, len(FEATURES))
     return fit(x, got["y"].to_numpy())
 
 
 def classify(docs: DataFrame, model: Additive, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a row: (id_col, held_out, score, predicted). Null counts as empty; only the text enters the score."""
+    """One row a row: (id_col, held_out, score, predicted). Only the text enters the score, null as empty, and long ones whole.
+
+    Repeated rows get a row each; a row without id is not held out. Other columns are not read; an empty table gives no rows.
+    """
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     scored = own.mapInArrow(_rows(model), "id long, out double")
     return scored.select(F.col("id").alias(id_col), is_held_out(F.col("id")).alias("held_out"), F.col("out").alias("score"), (F.col("out") >= 0.5).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, model: Additive, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that the model does not reject (score of at least a half)."""
+    """The rows of ``docs``, with all their columns, that the model does not reject (score of at least a half).
+
+    Each row is judged for itself by its text alone, null as empty.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

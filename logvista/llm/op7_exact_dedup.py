@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from .shared import Workspace, free_name, read_table
 
-#: Winners at most, and counters of each summary: every digest with more than about 1/700 of a task's rows is kept in it.
-WINNERS, COUNTERS, FAN_IN = 128, 1024, 64
+#: Winners at most, and counters of each summary: every digest with more than about 1/2800 of a task's rows is kept in it, so
+#: that of those left to the shuffle none has more than about a thousandth of all rows.
+WINNERS, COUNTERS, FAN_IN = 1000, 4096, 64
 
 #: Runs of white space that are not one space already; the rest of ``[ \t-\r]+`` needs no change.
 _RUNS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
@@ -58,7 +59,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Texts are equal if they are after each run of ASCII white space became one space; null counts as empty. Of equal texts
     the row with the smallest id stays; of rows with that id, one; a row without id stays only if no row of its group has
-    one. Other columns are not read.
+    one. Texts of any length are read whole, an empty table gives no rows, and other columns are not read.
     """
     work = Workspace(docs.sparkSession, "exact")
     own = work.keep(docs.select(F.col(id_col).alias("id"), _digest(text_col).alias("digest")).withColumn("row", F.monotonically_increasing_id()), "digests")

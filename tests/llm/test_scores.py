@@ -63,6 +63,68 @@ def test_measures_don_t_depend_on_neighbours(texts):
     assert np.allclose(together, alone) and together.shape == (len(texts), len(Q.FEATURES))
 
 
+def plain_measures(text):
+    """The measures of one text, by plain loops over its characters, words and lines."""
+    from collections import Counter
+
+    raw, n = text.encode(), len(text.encode())
+    classes = (
+        ("upper", lambda b: 65 <= b <= 90), ("lower", lambda b: 97 <= b <= 122), ("digit", lambda b: 48 <= b <= 57), ("high", lambda b: b >= 128), ("line", lambda b: b == 10),
+        ("blank", lambda b: b in b" \t"), ("control", lambda b: b < 32 and b not in b" \t\n\v\f\r"), ("stop", lambda b: b in b".!?"), ("comma", lambda b: b in b",;:"), ("quote", lambda b: b in b"\"'`"),
+        ("bracket", lambda b: b in b"()[]{}<>"), ("shout", lambda b: b == 33), ("bar", lambda b: b == 124), ("symbol", lambda b: b in b"#$%&*+/=@\\^_~-"),
+    )
+    of = [next((name for name, f in classes if f(b)), "") for b in range(256)]
+    counts = Counter(of[b] for b in raw)
+    words = re.findall(rb"[^\x20\x09-\x0D]+", raw)
+    m, some = len(words), max(1, len(words))
+    lines = [x for x in raw.split(b"\n") if x]
+    odd = ("shout", "bar", "symbol", "bracket", "control")
+    return [
+        *(counts[name] / max(1, n) for name, _ in classes), np.log1p(m), sum(map(len, words)) / some, sum(len(w) > 12 for w in words) / some, len(set(words)) / some,
+        max(Counter(words).values(), default=0) / some, sum(a == b for a, b in zip(words, words[1:])) / some, sum(a == b for a, b in zip(words, words[2:])) / some,
+        len(set(lines)) / max(1, len(lines)), n / max(1, len(lines)), len(set(zip(words, words[1:]))) / max(1, m - 1), sum(any(of[b] in odd for b in w) for w in words) / some,
+    ]
+
+
+def plain_score(model, text):
+    x = plain_measures(text)
+    bins = [sum(v >= e for e in edges) for v, edges in zip(x, model.edges, strict=True)]
+    odds = model.intercept + sum(t[b] for t, b in zip(model.tables, bins, strict=True)) + sum(g[bins[i], bins[j]] for (i, j), g in zip(model.pairs, model.grids, strict=True))
+    return 1 / (1 + np.exp(-min(30, max(-30, odds))))
+
+
+def test_quality_by_brute_force_and_on_held_out_documents(spark, texts):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    m = Q.learn(docs, labels)
+    own = [(10**7 + i, t) for i, t in enumerate([*texts, "a\n\nb\n a!b | c|d {x} \x01 $5", "x " * 30_000])]
+    all_ = docs.select("doc_id", "text").union(spark.createDataFrame(own, "doc_id long, text string"))
+    got = {r["doc_id"]: r for r in Q.classify(all_, m).collect()}
+    known = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    hits = [got[i]["predicted"] == y for i, y in known.items() if i in got and got[i]["held_out"]]
+    assert len(hits) > 50 and sum(hits) / len(hits) > 0.95
+    plain = {r["doc_id"]: r["text"] for r in docs.where("doc_id % 7 = 0").collect()} | dict(own)
+    for i, t in plain.items():
+        assert abs(got[i]["score"] - plain_score(m, t or "")) < 1e-9, t
+
+
+def test_repeated_documents_and_contradicting_labels(spark):
+    texts = [(i, f"{'good words here' if i % 2 else '!!! ### |||'} {i}") for i in range(60)]
+    docs = spark.createDataFrame(texts * 3 + [(0, "another text of id 0"), (1, None)], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] * 2 + [(2, 1), (3, 0), (4, 7)], "doc_id long, quality int")
+    seen = []
+    real = Q.fit
+    try:
+        Q.fit = lambda x, y: seen.append((len(x), y.sum())) or real(x, y)
+        m = Q.learn(docs, labels, sample=30)
+        Q.learn(docs, labels)
+    finally:
+        Q.fit = real
+    free = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert seen[0][0] == 30 and seen[1] == (len(free), sum(i % 2 or i == 2 for i in free))
+    assert Q.classify(docs, m).count() == docs.count()
+
+
 # --- licences
 
 
