@@ -96,7 +96,7 @@ def pipe_dedupe(text: Column) -> Column:
 
 def event_status(name: Column) -> Column:
     """What an event name says about the outcome of the login."""
-    known = {"login_success": "success", "login_failure": "failure", "login_challenge": "challenge", "login_verification": "verification", "logout": "logout"}
+    known = {"login_success": "success", "login_failure": "failure", "login_challenge": "challenge", "login_verification": "verification"}
     out = F.when(F.lit(False), "")
     for k, v in known.items():
         out = out.when(name == k, v)

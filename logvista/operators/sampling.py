@@ -4,33 +4,99 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..sources.staging import staged
 
 
 def seeded(column: str, seed: int) -> Column:
     return F.md5(F.concat(F.col(column).cast("string"), F.lit(f"|{seed}")).cast("binary"))
 
 
-def numbered(df: DataFrame, key: Column, ties: list[Column], out: str = "position", parts: int = 200) -> DataFrame:
-    """Rows numbered from 0 by a numeric key, then ``ties``, which make the order total, without sorting them in one task.
+#: Rows that are put in order in one task, about.
+IN_ORDER = 250_000
+
 
-    Quantiles of the key, found once, deal the rows to buckets in order; what is summed in one place is a count a bucket.
+def number_rows(df: DataFrame, order: list[Column], out: str = "position") -> DataFrame:
+    """Rows numbered from 0 by a total order, without sorting them in one task.
+
+    Ranges of the order are dealt to tasks, in proportion to the rows, sorted there, and numbered from the number of rows
+    before each range; what is summed in one place is a count a task. Ranges are cut by all columns of the order, so that many
+    rows of one time don't meet in one task.
     """
-    edges = df.agg(F.percentile_approx(key, [i / parts for i in range(1, parts)], 10 * parts).alias("e")).first()["e"] or []
-    edges = F.array(*map(F.lit, sorted(set(edges)))) if edges else F.array().cast("array<long>")
-    d = df.withColumn("key_", key).withColumn("bucket_", F.size(F.filter(edges, lambda e: e <= F.col("key_"))))
-    nth = F.row_number().over(Window.partitionBy("bucket_").orderBy("key_", *ties)) - 1
-    sizes = d.groupBy("bucket_").agg(F.count("*").alias("n_"))
-    base = sizes.select("bucket_", (F.sum("n_").over(Window.orderBy("bucket_").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_")).alias("base_"))
-    d = d.withColumn("nth_", nth).join(F.broadcast(base), "bucket_")  # ``parts`` rows
-    return d.withColumn(out, F.col("base_") + F.col("nth_")).drop("key_", "bucket_", "nth_", "base_")
+    tasks = max(1, -(-df.count() // IN_ORDER))
+    placed = df.select("*", *(c.alias(f"order{i}_") for i, c in enumerate(order)))
+    keys = [F.col(f"order{i}_") for i in range(len(order))]
+    placed = placed.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys).withColumn("at_", F.monotonically_increasing_id()).drop(*(f"order{i}_" for i in range(len(order))))
+    if tasks == 1:
+        return placed.withColumnRenamed("at_", out)
+    placed = staged(placed, "ordered").withColumn("task_", F.shiftright("at_", 33))
+    counts = placed.groupBy("task_").agg(F.count("*").alias("n_")).collect()  # a row a task
+    before, base = 0, {}
+    for r in sorted(counts, key=lambda r: r["task_"]):
+        base[r["task_"]] = before
+        before += r["n_"]
+    sizes = df.sparkSession.createDataFrame(list(base.items()) or [(0, 0)], "task_ long, base_ long")
+    placed = placed.join(F.broadcast(sizes), "task_")
+    return placed.withColumn(out, F.col("base_") + F.col("at_").bitwiseAND(F.lit((1 << 33) - 1))).drop("task_", "base_", "at_")
+
+
+def numbered(df: DataFrame, key: Column, ties: list[Column], out: str = "position") -> DataFrame:
+    """Rows numbered from 0 by a key, then ``ties``, which make the order total."""
+    return number_rows(df, [key, *ties], out)
 
 
 def temporal_split(df: DataFrame, key: Column, ties: list[Column], cuts: tuple[float, float] = (0.70, 0.85)) -> DataFrame:
     """Adds ``split``: train, validation, test by position in time order."""
     n = df.count()
     a, b = (int(n * c) for c in cuts)
-    d = numbered(df, key, ties, "pos_")
-    return d.withColumn("split", F.when(F.col("pos_") < a, "train").when(F.col("pos_") < b, "validation").otherwise("test")).drop("pos_")
+    first = _places(df, [key, *ties], [a, b])
+    now = F.struct(key.alias("o0"), *(t.alias(f"o{i}") for i, t in enumerate(ties, 1)))
+    split = F.lit("train")
+    for place, name in zip(first, ("validation", "test"), strict=True):
+        if place is not None:
+            split = F.when(now >= F.struct(*(F.lit(v).cast(t).alias(f"o{i}") for i, (v, t) in enumerate(place))), name).otherwise(split)
+    return df.withColumn("split", split)
+
+
+def _places(df: DataFrame, order: list[Column], ranks: list[int]) -> list[list[tuple] | None]:
+    """The values (and types) of ``order`` of the rows that have these ranks in it; None beyond the last row.
+
+    Only rows near a wanted rank are put in order: quantiles of the first column cut the rest off, rows with that same value
+    are narrowed down by the next column, and so on. The columns hold no nulls.
+    """
+    keys = df.select(*(c.alias(f"o{i}") for i, c in enumerate(order)))
+    total = keys.count()
+    out: list[list[tuple] | None] = []
+    for rank in ranks:
+        if rank >= total:
+            out.append(None)
+            continue
+        part, left, size = keys, rank, total
+        for i in range(len(order)):
+            c = f"o{i}"
+            if not isinstance(keys.schema[c].dataType, T.NumericType | T.TimestampType | T.DateType):
+                break
+            while size > IN_ORDER:
+                share = (left + 0.5) / size
+                cuts = part.agg(F.percentile_approx(c, [max(0.0, share - 0.002), min(1.0, share + 0.002)], 10_000)).first()[0]
+                low, high = F.lit(cuts[0]), F.lit(cuts[1])
+                r = part.agg(F.count_if(F.col(c) < low).alias("below"), F.count_if(F.col(c).between(low, high)).alias("n")).first()
+                inside = part.where(F.col(c).between(low, high))
+                if not r["below"] <= left < r["below"] + r["n"] or r["n"] == size:
+                    break
+                part, left, size = inside, left - r["below"], r["n"]
+            if size <= IN_ORDER:
+                break
+            # One value holds most of what is left, or the quantiles were off: find the value itself by counts.
+            values = part.groupBy(c).agg(F.count("*").alias("n"))
+            w = Window.orderBy(c).rowsBetween(Window.unboundedPreceding, 0)
+            at = values.withColumn("to", F.sum("n").over(w)).where((F.col("to") > left) & (F.col("to") - F.col("n") <= left)).first()
+            part, left, size = part.where(F.col(c) == F.lit(at[c])), left - (at["to"] - at["n"]), at["n"]
+        names = [f"o{i}" for i in range(len(order))]
+        row = part.orderBy(*names).offset(left).limit(1).first()
+        out.append([(row[c], keys.schema[c].dataType) for c in names])
+    return out
 
 
 def cap_actors(df: DataFrame, actor: str, key: str, most: int = 80, seed: int = 42) -> DataFrame:

@@ -20,10 +20,17 @@ def require_unique(df: DataFrame, key: str) -> None:
 
 def schema_errors(df: DataFrame, expected: list[str], forbidden: set[str] = frozenset()) -> list[str]:
     out = [] if df.columns == expected else [f"missing {sorted(set(expected) - set(df.columns))}, extra {sorted(set(df.columns) - set(expected))}, or another order"]
-    return out + [f"forbidden: {c}" for c in df.columns if c in forbidden]
+    return out + [f"forbidden: {c}" for c in df.columns if c.lower() in forbidden]
+
+
+def forbidden(df: DataFrame, names: set[str]) -> list[str]:
+    """Columns that must not be there, however they are written."""
+    return [c for c in df.columns if c.lower() in names]
 
 
 RULES = {
+    "history_flag": "history_available <> cast(prior_event_count > 0 as int)",
+    "first_change": "prior_event_count = 0 and country_changed <> 0",
     "signal_not_binary": "provider_suspicious is null or provider_suspicious not in (0, 1)",
     "first_event": "prior_event_count = 0 and (hours_since_last_login is not null or hours_since_first_observed_login <> 0 or logins_30d <> 1)",
     "later_event": "prior_event_count > 0 and hours_since_last_login is null",

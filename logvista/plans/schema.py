@@ -31,14 +31,21 @@ _RESTRICTED = [
 PUBLIC_42 = T.StructType([T.StructField(*f) for f in _PUBLIC])
 RESTRICTED_50 = T.StructType([T.StructField(*f) for f in _PUBLIC + _RESTRICTED])
 
-#: The earlier narrow contract.
+# The earlier narrow contract, whose columns and their order are part of it.
 LEGACY_20 = [
-    "event_id", "actor_pseudo_id", "event_time_hour_utc", "prior_event_count", "history_available", "hours_since_last_login", "hours_since_first_observed_login",
-    "logins_24h", "logins_7d", "logins_30d", "ip_version", "is_new_ip", "ip_country", "is_new_country", "country_changed", "countries_seen_24h", "countries_seen_30d",
-    "login_type", "login_challenge_method", "provider_suspicious",
+    "event_id", "actor_pseudo_id", "event_time_hour_utc", "ip_country", "ip_version", "login_type", "login_challenge_method", "prior_event_count", "history_available",
+    "hours_since_last_login", "hours_since_first_observed_login", "logins_24h", "logins_7d", "logins_30d", "is_new_ip", "is_new_country", "country_changed",
+    "countries_seen_24h", "countries_seen_30d", "provider_suspicious",
 ]
 LEGACY_35 = LEGACY_20 + [
-    "event_time", "institution_pseudo_id", "source_file_id", "network_pseudo_id", "ip_region", "ip_city", "latitude", "longitude", "continent", "continent_changed",
-    "travel_distance_km", "travel_speed_kmh", "is_impossible_travel", "event_name", "login_status",
+    "event_time", "institution_pseudo_id", "source_file_id", "network_pseudo_id", "actor_email_hash", "ip_hash", "ip_region", "ip_city", "continent", "latitude", "longitude",
+    "continent_changed", "travel_distance_km", "travel_speed_kmh", "is_impossible_travel",
 ]
-FORBIDDEN_PUBLIC = {"actor_email_hash", "ip_hash", "record_id", "source_file", "source_file_id", "history_available", *(f[0] for f in _RESTRICTED)}
+
+# What a release must not hold.
+FORBIDDEN_PUBLIC = {
+    "event_time", "network_pseudo_id", "actor_email_hash", "ip_hash", "institution_pseudo_id", "source_file_id", "ip_region", "ip_city", "latitude", "longitude", "travel_distance_km",
+    "travel_speed_kmh", "is_impossible_travel", "risk_score", "risk_level", "label", "record_id", "source_file", "history_available",
+}
+FORBIDDEN_LEGACY = FORBIDDEN_PUBLIC - {"history_available"}
+FORBIDDEN_RESTRICTED = {"risk_score", "risk_level", "label", "distinct_ips_7d", "distinct_ips_30d", "distinct_users_per_network_24h", "geo_source"}

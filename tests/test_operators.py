@@ -1,5 +1,6 @@
 """Operators against brute force on small random tables with ties and nulls, and forms that SQL doesn't have."""
 
+import hashlib
 import json
 import math
 import random
@@ -13,6 +14,7 @@ from logvista.operators import ml as M
 from logvista.operators import sampling as P
 from logvista.operators import stats as T
 from logvista.operators import validate as V
+from logvista.plans.schema import RAW
 from logvista.sources import api_json as A
 from logvista.streaming import landing
 
@@ -74,15 +76,23 @@ def test_summaries_with_missing(spark):
     assert [(r["c=A"], r["c=_other_"]) for r in hot.orderBy("t").collect()].count((0, 1)) == 2
 
 
-def test_numbering_and_caps(spark):
+def test_numbering_and_caps(spark, monkeypatch):
     d = spark.range(1000).select((F.col("id") % 37).alias("k"), "id")
-    n = P.numbered(d, F.col("k"), [F.col("id")], parts=8).orderBy("position").collect()
+    monkeypatch.setattr(P, "IN_ORDER", 20)
+    n = P.numbered(d, F.col("k"), [F.col("id")]).orderBy("position").collect()
     assert [r["position"] for r in n] == list(range(1000)) and [(r["k"], r["id"]) for r in n] == sorted((i % 37, i) for i in range(1000))
     assert P.numbered(d.limit(0), F.col("k"), [F.col("id")]).count() == 0
     c = P.cap_actors(d, "k", "id", 10)
     assert c.count() == 370 and {r["id"] for r in c.collect()} == {r["id"] for r in P.cap_actors(d.repartition(3), "k", "id", 10).collect()}
     parts = {r["split"]: r["count"] for r in P.temporal_split(d, F.col("k"), [F.col("id")]).groupBy("split").count().collect()}
     assert parts == {"train": 700, "validation": 150, "test": 150}
+    ranked = sorted((i % 37, i) for i in range(1000))
+    split = {r["id"]: r["split"] for r in P.temporal_split(d, F.col("k"), [F.col("id")]).collect()}
+    assert all(split[i] == ("train" if n < 700 else "validation" if n < 850 else "test") for n, (_, i) in enumerate(ranked))
+    one = d.withColumn("k", F.lit(5))  # all at one time
+    split = {r["id"]: r["split"] for r in P.temporal_split(one, F.col("k"), [F.col("id")]).collect()}
+    assert all(split[i] == ("train" if i < 700 else "validation" if i < 850 else "test") for i in range(1000))
+    assert P.temporal_split(d.limit(0), F.col("k"), [F.col("id")]).count() == 0
 
 
 def test_models(spark):
@@ -105,7 +115,7 @@ def test_models(spark):
 
 
 ITEM = {
-    "id": {"time": "2026-05-01T10:00:00Z", "uniqueQualifier": "q1"}, "actor": {"email": "A@b.c"}, "ipAddress": "10.0.0.1", "networkInfo": {"regionCode": "AO"},
+    "id": {"time": "2026-05-01T10:00:00Z", "uniqueQualifier": "q1"}, "actor": {"email": "A@b.c"}, "ipAddress": "10.0.0.1", "geoLocation": {"country": "Angola", "region": "", "continent": "Africa"},
     "events": [{"name": None}, {"name": "login_success", "parameters": [
         {"name": "login_type", "value": "reauth"}, {"name": "login_type", "value": "exchange"}, {"name": "is_suspicious", "boolValue": True}, {"name": "login_challenge_method", "multiValue": ["password", "none"]},
     ]}],
@@ -115,12 +125,14 @@ ITEM = {
 def test_api_items_batch_and_stream(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
-    (src / "a.json").write_text("\n".join(json.dumps(x) for x in (ITEM, ITEM | {"id": {"uniqueQualifier": "q2"}, "ipAddress": "::1", "events": None, "networkInfo": None})))
-    geo = spark.createDataFrame([("::1", "France", "IDF", "Paris", "Europe", 48.8, 2.3)], A.GEO)
+    (src / "a.json").write_text("\n".join(json.dumps(x) for x in (ITEM, ITEM | {"id": {"uniqueQualifier": "q2"}, "ipAddress": " ::1 ", "events": None, "geoLocation": None})))
+    geo = spark.createDataFrame([("::1", "France", "IDF", "Paris", "Europe", 48.8, 2.3), ("10.0.0.1", "X", "Luanda Province", "Luanda", "Y", 1.0, 2.0)], A.GEO)
     items = A.read_items(spark, str(src))
     a, b = A.flatten(items, geo).orderBy("record_id").collect()
-    assert (a["ip_country"], a["ip_version"], a["login_type"], a["is_suspicious"], a["login_challenge_method"], a["event_name"], a["login_status"]) == ("AO", "4", "exchange", "true", "password|none", "login_success", "success")
-    assert (b["ip_country"], b["ip_version"], b["ip_city"], b["event_name"], b["login_status"]) == ("France", "6", "Paris", None, "other") and len(a["actor_email_hash"]) == 16
+    assert (a["ip_country"], a["ip_region"], a["continent"], a["ip_version"], a["login_type"], a["is_suspicious"], a["login_challenge_method"], a["event_name"], a["login_status"]) == (
+        "Angola", "Luanda Province", "Africa", "4", "exchange", "true", "password|none", "login_success", "success")
+    assert (b["ip_country"], b["ip_version"], b["ip_city"], b["event_name"], b["login_status"]) == ("France", "6", "Paris", None, None)
+    assert a["actor_email_hash"] == hashlib.sha256(b"A@b.c").hexdigest()[:16] and b["ip_hash"] == hashlib.sha256(b" ::1 ").hexdigest()[:16]
     assert A.distinct_addresses(items).count() == 2
     (src / "b.json").write_text(json.dumps(ITEM))
     q = landing.land(spark, str(src), str(tmp_path / "out"), str(tmp_path / "cp"))
@@ -128,10 +140,35 @@ def test_api_items_batch_and_stream(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
 
 
+def test_pages_are_followed_and_numbered(spark, tmp_path):
+    more = [{"name": "ip_address", "value": "1.1.1.1"}, {"name": "is_suspicious", "boolValue": False}, {"name": "is_suspicious", "value": None, "boolValue": True}, {"name": "login_type", "intValue": "7"},
+            {"name": "login_challenge_method", "multiStrValue": ["a", "b"]}, {"name": "other", "value": "z"}]
+    items = [ITEM, {"events": [{"name": "logout", "parameters": more}, {"name": "login_failure"}]}, {"events": []}, {}, ITEM]
+    pages = {None: {"items": items[:2], "nextPageToken": "t1"}, "t1": {"nextPageToken": "t2"}, "t2": {"items": items[2:]}}
+    folder = str(tmp_path / "pages")
+    assert A.land_pages(pages.__getitem__, folder) == 3
+    rows = A.extract(A.read_pages(spark, folder)).orderBy(F.col("record_id").cast("int")).collect()
+    assert [r["record_id"] for r in rows] == ["1", "2", "3", "4", "5"] and rows[0]["login_type"] == rows[4]["login_type"] == "exchange"
+    r = rows[1]
+    assert (r["event_name"], r["login_status"], r["is_suspicious"], r["login_type"], r["login_challenge_method"]) == ("logout", "other", None, "7", "a|b")
+    assert r["ip_hash"] == hashlib.sha256(b"1.1.1.1").hexdigest()[:16] and r["actor_email_hash"] is None
+    assert all(v is None for k, v in rows[2].asDict().items() if k != "record_id") and rows[3]["login_status"] is None
+    A.write_raw(A.extract(A.read_pages(spark, folder)), str(tmp_path / "raw"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "raw")).columns == RAW
+    (tmp_path / "pages" / "page-00000002.json").unlink()
+    try:
+        A.read_pages(spark, folder)
+        raise AssertionError
+    except ValueError:
+        pass
+
+
 def test_geo_answers(spark):
-    rows = [("", None, None, None, None, None), ("x", 200, "success", "A/B", 1.0, 1.0), ("1.2.3.4", 500, None, None, None, None), ("1.2.3.4", 200, "fail", None, None, None), ("::1", 200, "success", "Africa/Luanda", 99.0, 1.0)]
-    got = A.geo_status(spark.createDataFrame(rows, "ip string, http int, status string, timezone string, latitude double, longitude double")).collect()
-    assert [r["lookup"] for r in got] == ["empty_ip", "invalid_ip", "http_500", "provider_fail", "ok"] and got[4]["continent"] == "Africa" and got[4]["latitude"] is None
+    rows = [("", None, None, None, None, None, None), ("x", 200, None, "success", "A/B", 1.0, 1.0), ("1.2.3.4", 500, None, None, None, None, None), ("1.2.3.4", 200, None, "fail", None, None, None),
+            ("::1", 200, None, "success", "Africa/Luanda", 99.0, 1.0), ("1.2.3.4", None, "Timeout", None, None, None, None), ("1.2.3.4", 200, None, "success", "UTC", 1.0, 1.0)]
+    got = A.geo_status(spark.createDataFrame(rows, "ip string, http int, error string, status string, timezone string, latitude double, longitude double")).collect()
+    assert [r["lookup"] for r in got] == ["empty_ip", "invalid_ip", "http_500", "provider_fail", "ok", "request_error:Timeout", "ok"]
+    assert got[4]["continent"] == "Africa" and got[4]["latitude"] is None and got[4]["longitude"] == 1.0 and got[6]["continent"] is None
 
 
 def test_challenges_and_addresses(spark):

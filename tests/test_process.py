@@ -78,6 +78,19 @@ def test_forms_of_files(spark, tmp_path):
     assert (a["latitude"], a["longitude"]) == (None, None) and (b["ip_country"], b["continent"], b["country_changed"]) == ("Netherlands", "Europe", 1)
 
 
+def test_records_over_lines_in_any_encoding(spark, tmp_path):
+    for encoding in ("utf-8", "cp1252", "latin-1"):
+        rows = [{"ip_city": '"S\u00e3o\nPaulo; ""x"""', "ip_region": "\x0c-\x1d" if encoding != "latin-1" else "\x81"}, {"event_time": "2026-05-01T12:00:00Z"}]
+        path = write(tmp_path / encoding / "suspicious_login_logs_1.csv", rows, encoding=encoding)
+        got = C.read_raw(spark, str(path)).orderBy("line_").collect()
+        assert [r["ip_city"] for r in got] == ['S\u00e3o\nPaulo; "x"', "Luanda"] and [r["ip_region"] for r in got] == [rows[0]["ip_region"], "AO"], encoding
+    files = [C.RawFile(str(tmp_path / e / "suspicious_login_logs_1.csv"), e, b"k") for e in ("utf-8", "cp1252", "latin-1")]
+    raw, _ = C.read_all(spark, files, [])
+    assert [(r["institution"], r["record_id"]) for r in raw.orderBy("row_order").collect()] == [(e, "1") for e in ("utf-8", "cp1252", "latin-1") for _ in range(2)]
+    found = C.discover(str(tmp_path), {f"HMAC_SECRET_KEY_{x}": "k" for x in ("UTF_8", "CP1252", "LATIN_1")}, spark=spark)
+    assert [f.institution for f in found] == ["cp1252", "latin-1", "utf-8"] and C.read_all(spark, found, [])[0].count() == 6
+
+
 def test_institutions(spark, tmp_path):
     write(tmp_path / "north" / "suspicious_login_logs.csv", [{}])
     write(tmp_path / "south" / "suspicious_login_logs.csv", [{"event_time": "2026-05-01T12:00:00Z"}])
