@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sampling import quantiles, running
+
 MISSING = "<missing>"
 
 
@@ -32,11 +34,9 @@ def ranked_counts(counts: DataFrame, n: str = "event_count") -> DataFrame:
     Actors are first grouped by their number of events, so that what is put in one order are distinct counts and not actors.
     """
     g = counts.groupBy(F.col(n).alias("x")).agg(F.count("*").alias("actors"))
-    w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    return g.withColumns({
-        "actors_to": F.sum("actors").over(w), "events_to": F.sum(F.col("x") * F.col("actors")).over(w),
-        "all_actors": F.sum("actors").over(Window.partitionBy()), "all_events": F.sum(F.col("x") * F.col("actors")).over(Window.partitionBy()),
-    })
+    events = F.col("x") * F.col("actors")
+    g = running(g, F.col("x"), {"actors_to": F.col("actors"), "events_to": events})
+    return g.crossJoin(F.broadcast(g.agg(F.sum("actors").alias("all_actors"), F.sum(events).alias("all_events"))))  # one row
 
 
 def gini(counts: DataFrame, n: str = "event_count") -> DataFrame:
@@ -67,18 +67,18 @@ def top_share(counts: DataFrame, shares: tuple[float, ...] = (0.01, 0.10), n: st
 
 def actor_activity(df: DataFrame, actor: str, signal: str) -> DataFrame:
     """One row: singletons, recurrent, events with and without history, exact quartiles, the largest."""
-    c = per_actor(df, actor, signal)
-    q = F.percentile("event_count", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    c = per_actor(df, actor, signal).groupBy("event_count").agg(F.count("*").alias("n"))  # a row a count, of which there are few
+    q = F.percentile("event_count", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n"))
+    events = F.col("event_count") * F.col("n")
     one = c.agg(
-        F.count_if(F.col("event_count") == 1).alias("singletons"), F.count_if(F.col("event_count") > 1).alias("recurrent"), F.count("*").alias("without_history"),
-        (F.sum("event_count") - F.count("*")).alias("with_history"), q.alias("q"), F.max("event_count").alias("largest"),
+        F.coalesce(F.sum(F.when(F.col("event_count") == 1, F.col("n"))), F.lit(0)).alias("singletons"), F.coalesce(F.sum(F.when(F.col("event_count") > 1, F.col("n"))), F.lit(0)).alias("recurrent"),
+        F.sum("n").alias("without_history"), F.sum(events - F.col("n")).alias("with_history"), q.alias("q"), F.max("event_count").alias("largest"),
     )
     return one.select("singletons", "recurrent", "with_history", "without_history", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "largest")
 
 
 def quartiles(df: DataFrame, column: str) -> DataFrame:
-    q = F.percentile(column, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return df.agg(q.alias("q")).select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    return df.sparkSession.createDataFrame([tuple(quantiles(df, column, [0.25, 0.5, 0.75]))], "q1 double, median double, q3 double")
 
 
 def category(df: DataFrame, column: str, label: str | None = MISSING) -> DataFrame:
@@ -142,9 +142,12 @@ def entropy(df: DataFrame, actor: str, value: str) -> DataFrame:
 
 
 def describe(df: DataFrame, key: str, value: str) -> DataFrame:
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    g = df.groupBy(key).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("low"), q.alias("q"), F.max(value).alias("high"))
-    return g.select(key, "n", "mean", "std", "low", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "high")
+    """Count, moments, extremes and quartiles of a value by ``key``, of which there are few (a flag, say)."""
+    g = df.groupBy(key).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("low"), F.max(value).alias("high"))
+    keys = [r[key] for r in g.select(key).collect()]
+    found = [(k, *quantiles(df.where(F.col(key).eqNullSafe(F.lit(k))), value, [0.25, 0.5, 0.75])) for k in keys]
+    q = df.sparkSession.createDataFrame(found, f"k_ {df.schema[key].dataType.simpleString()}, q1 double, median double, q3 double")
+    return g.join(F.broadcast(q), F.col(key).eqNullSafe(F.col("k_"))).select(key, "n", "mean", "std", "low", "q1", "median", "q3", "high")
 
 
 def statistics(df: DataFrame, actor: str, time: str, signal: str, country: str) -> dict:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .describe import top_k
+from .sampling import quantiles, running
 
 
 def drop_gaps(df: DataFrame, columns: list[str], label: str) -> tuple[DataFrame, dict]:
@@ -52,9 +53,8 @@ def class_weight(df: DataFrame, label: str) -> DataFrame:
 def cumulated(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """(s, p, n, tp, fp, positives, negatives), one row a distinct score; tp and fp count rows with at least that score."""
     g = df.groupBy(F.col(score).alias("s")).agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
-    down = Window.orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
-    all_ = Window.partitionBy()
-    return g.withColumns({"tp": F.sum("p").over(down), "fp": F.sum("n").over(down), "positives": F.sum("p").over(all_), "negatives": F.sum("n").over(all_)})
+    g = running(g, F.desc("s"), {"tp": F.col("p"), "fp": F.col("n")})
+    return g.crossJoin(F.broadcast(g.agg(F.sum("p").alias("positives"), F.sum("n").alias("negatives"))))  # one row
 
 
 def roc_auc(c: DataFrame) -> DataFrame:
@@ -76,8 +76,13 @@ def best_threshold(c: DataFrame) -> DataFrame:
 
 def matched_threshold(c: DataFrame, false_positives: int, low: int = 50, high: int = 999) -> DataFrame:
     """(threshold, fp): of .050, .051 … .999 the first whose number of false positives is nearest to the wanted one."""
-    grid = c.sparkSession.range(low, high + 1).select((F.col("id") / 1000).alias("threshold"))
-    fp = c.crossJoin(F.broadcast(grid)).groupBy("threshold").agg(F.sum(F.when(F.col("s") >= F.col("threshold"), F.col("n")).otherwise(0)).alias("fp"))
+    near = F.floor(F.col("s") * 1000 + 0.5)
+    step = F.when(near / 1000 <= F.col("s"), near).otherwise(near - 1)  # the last threshold that the score reaches
+    step = F.greatest(F.lit(low - 1), F.least(F.lit(high), step)).cast("long")
+    steps = c.groupBy(step.alias("id")).agg(F.sum("n").alias("n"))  # as many rows as thresholds
+    grid = c.sparkSession.range(low, high + 1).join(F.broadcast(steps), "id", "left")
+    down = Window.orderBy(F.desc("id")).rowsBetween(Window.unboundedPreceding, 0)
+    fp = grid.select((F.col("id") / 1000).alias("threshold"), F.coalesce(F.sum("n").over(down), F.lit(0)).alias("fp"))
     return fp.orderBy(F.abs(F.col("fp") - false_positives), "threshold").limit(1)
 
 
@@ -103,9 +108,8 @@ def pr_curve(c: DataFrame) -> DataFrame:
 
 def calibration(df: DataFrame, bins: int = 10, score: str = "score", label: str = "label") -> DataFrame:
     """(bin, mean_score, rate, rows) for bins between exact quantiles of the scores; a score on an edge belongs to the higher bin."""
-    edges = df.agg(F.percentile(score, F.array(*(F.lit(i / bins) for i in range(1, bins)))).alias("e"))
-    d = df.crossJoin(F.broadcast(edges))  # one row
-    d = d.withColumn("bin", F.size(F.filter(F.array_distinct("e"), lambda e: e <= F.col(score))))
+    edges = sorted({e for e in quantiles(df, score, [i / bins for i in range(1, bins)]) if e is not None})
+    d = df.withColumn("bin", F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col(score))) if edges else F.lit(0))
     return d.groupBy("bin").agg(F.avg(score).alias("mean_score"), F.avg(label).alias("rate"), F.count("*").alias("rows"))
 
 

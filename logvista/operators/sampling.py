@@ -41,6 +41,40 @@ def number_rows(df: DataFrame, order: list[Column], out: str = "position") -> Da
     return placed.withColumn(out, F.col("base_") + F.col("at_").bitwiseAND(F.lit((1 << 33) - 1))).drop("task_", "base_", "at_")
 
 
+def running(df: DataFrame, order: Column, sums: dict[str, Column]) -> DataFrame:
+    """``df`` with sums of all rows up to each one, in a total order, without sorting them in one task.
+
+    As in ``number_rows``, ranges of the order are dealt to tasks once there are many rows; a row a task comes together.
+    """
+    tasks = max(1, -(-df.count() // IN_ORDER))
+    if tasks == 1:
+        w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumns({n: F.sum(c).over(w) for n, c in sums.items()})
+    parts = df.withColumns({f"{n}_own": c for n, c in sums.items()}).repartitionByRange(tasks, order).sortWithinPartitions(order).withColumn("at_", F.monotonically_increasing_id())
+    parts = staged(parts, "running").withColumn("task_", F.shiftright("at_", 33))
+    inside = Window.partitionBy("task_").orderBy("at_").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.orderBy("task_").rowsBetween(Window.unboundedPreceding, -1)
+    totals = parts.groupBy("task_").agg(*(F.sum(f"{n}_own").alias(f"{n}_all") for n in sums))  # a row a task
+    totals = totals.select("task_", *(F.coalesce(F.sum(f"{n}_all").over(before), F.lit(0)).alias(f"{n}_before") for n in sums))
+    out = parts.join(F.broadcast(totals), "task_").withColumns({n: F.col(f"{n}_before") + F.sum(f"{n}_own").over(inside) for n in sums})
+    return out.drop("task_", "at_", *(f"{n}_{x}" for n in sums for x in ("own", "before")))
+
+
+def quantiles(df: DataFrame, column: str, shares: list[float]) -> list[float | None]:
+    """Exact quantiles of the known values of a numeric column, interpolated linearly between ranks; None without any.
+
+    Small tables are sorted in one task, of large ones only the neighbourhood of the wanted ranks is.
+    """
+    known = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
+    n = known.count()
+    if n <= IN_ORDER:
+        return known.agg(F.percentile("v", F.array(*map(F.lit, shares))).alias("q")).first()["q"] or [None] * len(shares)
+    at = [s * (n - 1) for s in shares]
+    ranks = sorted({r for x in at for r in (int(x), min(n - 1, int(x) + 1))})
+    value = {r: p[0][0] for r, p in zip(ranks, _places(known, [F.col("v")], ranks), strict=True)}
+    return [value[int(x)] + (x - int(x)) * (value[min(n - 1, int(x) + 1)] - value[int(x)]) for x in at]
+
+
 def numbered(df: DataFrame, key: Column, ties: list[Column], out: str = "position") -> DataFrame:
     """Rows numbered from 0 by a key, then ``ties``, which make the order total."""
     return number_rows(df, [key, *ties], out)

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sampling import numbered, running
+
 
 def odds_ratio(df: DataFrame, flag: str, label: str) -> DataFrame:
     """(a, b, c, d, odds_ratio, low, high): Woolf's 95 % interval; a row with a null is left out.
@@ -84,7 +86,7 @@ def mann_whitney(df: DataFrame, value: str, group: str) -> DataFrame:
     Ranks are made over distinct values, so that the one ordered table has a row for each of those.
     """
     g = df.where(F.col(value).isNotNull() & F.col(group).isin(0, 1)).groupBy(F.col(value).alias("v")).agg(F.count("*").alias("t"), F.count_if(F.col(group) == 1).alias("t1"))
-    g = g.withColumn("to", F.sum("t").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
+    g = running(g, F.col("v"), {"to": F.col("t")})
     rank = F.col("to") - (F.col("t") - 1) / 2
     r = g.agg(F.sum("t1").alias("n1"), F.sum(F.col("t") - F.col("t1")).alias("n0"), F.sum(rank * F.col("t1")).alias("r1"), F.sum(F.col("t").cast("double") * F.col("t") * F.col("t") - F.col("t")).alias("tie_term"))
     return r.select("n1", "n0", (F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2).alias("u"), "tie_term")
@@ -137,8 +139,6 @@ def coefficient_stability(df: DataFrame, flags: list[str], label: str, key: Colu
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
-    from .sampling import numbered
-
     d = numbered(df, key, ties).fillna(0, flags).persist()
     n, out = d.count(), []
     for i in range(1, parts + 1):

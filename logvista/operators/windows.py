@@ -1,9 +1,13 @@
 """Longitudinal operators over each actor's sequence of events.
 
 The order is actor, time, then the tie-breakers. All windows of an actor share one hash exchange: those over (actor, value)
-or (actor, hour) are satisfied by it too. Two rules keep ties right. A trailing count ends at the current row in that
-order, not at its time, so that later events of the same instant are left out. A trailing distinct count works on hours and
-likewise ends at the current row within its hour.
+are satisfied by it too. Two rules keep ties right. A trailing count ends at the current row in that order, not at its time, so
+that later events of the same instant are left out. A trailing distinct count works on hours and likewise ends at the
+current row within its hour.
+
+No trailing number is made of a sliding frame, which costs a window's rows for each row. ``Sequence.sweep`` puts the moments
+at which events and values leave their windows between the events, and all numbers are running sums over both: each event
+costs the same however many others its window holds.
 """
 
 from __future__ import annotations
@@ -42,9 +46,6 @@ class Sequence:
     def rows(self, *more: str) -> WindowSpec:
         return Window.partitionBy(self.actor, *more).orderBy(*self.order)
 
-    def span(self, key: Column, low: int, high: int) -> WindowSpec:
-        return Window.partitionBy(self.actor).orderBy(key).rangeBetween(low, high)
-
     def so_far(self) -> WindowSpec:
         return self.rows().rowsBetween(Window.unboundedPreceding, 0)
 
@@ -62,20 +63,10 @@ class Sequence:
     def hours_since_first(self) -> Column:
         return F.bround((self.us - F.min(self.us).over(Window.partitionBy(self.actor))) / HOUR_US, 4)
 
-    def trailing_count(self, df: DataFrame, days: float, out: str, number: str = "seq_no_") -> DataFrame:
-        """Events in [t - days, this row]. Adds the row number as ``number`` unless it is there."""
-        df = df if number in df.columns else df.withColumn(number, self.seq_no())
-        first = F.min(number).over(self.span(self.us, -int(days * DAY_US), 0))
-        return df.withColumn(out, F.col(number) - first + 1)
-
     def calendar_days(self, most: int = 30) -> Column:
         day = F.to_date(F.col(self.time))
         return F.least(F.lit(most), F.datediff(day, F.min(day).over(Window.partitionBy(self.actor))) + 1)
 
-    def active_days(self, days: int = 30) -> Column:
-        day = F.unix_date(F.to_date(F.col(self.time)))
-        return F.size(F.collect_set(day).over(self.span(day, -(days - 1), 0)))
-
     # --- values
 
     def is_first(self, value: str) -> Column:
@@ -96,21 +87,87 @@ class Sequence:
         """Distinct known values so far; ``first`` names a column that holds ``is_first(value)`` already."""
         return F.sum(F.coalesce(F.col(first) if first else self.is_first(value), F.lit(0))).over(self.so_far())
 
-    def trailing_distinct(self, value: str, hours: int, tokens: bool = False) -> Column:
-        """Distinct known values in the hours [h - hours, h], this hour up to this row. ``tokens``: the values are arrays."""
-        flat = F.flatten if tokens else (lambda x: x)
-        earlier = flat(F.collect_set(value).over(self.span(self.hour, -hours, -1)))
-        now = Window.partitionBy(self.actor, self.hour).orderBy(*self.order).rowsBetween(Window.unboundedPreceding, 0)
-        return F.size(F.array_union(earlier, flat(F.collect_set(value).over(now))))
-
-    def any_new_token(self, tokens: str) -> Column:
-        """Whether a set holds a token that the actor never had; null for null."""
-        before = F.flatten(F.collect_set(tokens).over(self.rows().rowsBetween(Window.unboundedPreceding, -1)))
-        return F.when(F.col(tokens).isNotNull(), (F.size(F.array_except(tokens, before)) > 0).cast("int"))
-
     def set_changed(self, tokens: str, null_as_zero: bool = False) -> Column:
         return self._changed(F.array_join(F.array_sort(F.array_distinct(tokens)), "|"), null_as_zero)
 
+    # --- trailing numbers
+
+    def _gaps(self, value: str, hours: int) -> tuple[Column, Column]:
+        """For rows with ``hour_``: whether a known value enters the window here, and when it leaves unless it comes again before."""
+        w, known, hour = self.rows(value), F.col(value).isNotNull(), F.col("hour_")
+        before, after = F.lag(hour).over(w), F.lead(hour).over(w)
+        enters = known & (before.isNull() | (hour - before > hours))
+        leaves = F.when(known & (after.isNull() | (after - hour > hours)), (hour + hours + 1) * HOUR_US)
+        return F.coalesce(enters, F.lit(False)).cast("int"), leaves
+
+    def _with_tokens(self, df: DataFrame, column: str, hours: int, new: str) -> DataFrame:
+        """Adds ``new`` (whether a set holds a token that the actor never had, null for null), tokens_in_ and tokens_out_."""
+        each = df.withColumn("row_", F.monotonically_increasing_id())
+        each = each.select(self.actor, "row_", F.struct(*df.columns).alias("doc_"), "hour_", *dict.fromkeys(c for c in (self.time, *self.ties)), F.explode_outer(F.array_distinct(column)).alias("token_"))
+        enters, leaves = self._gaps("token_", hours)
+        each = each.select(self.actor, "row_", "doc_", self.is_first("token_").alias("f_"), enters.alias("in_"), leaves.alias("out_"))
+        marked = each.groupBy(self.actor, "row_").agg(F.first("doc_").alias("doc_"), F.max("f_").alias("f_"), F.sum("in_").alias("tokens_in_"), F.collect_list("out_").alias("tokens_out_"))
+        some = F.when(F.col(f"doc_.{column}").isNotNull(), F.coalesce("f_", F.lit(0)))
+        return marked.select("doc_.*", some.alias(new), "tokens_in_", "tokens_out_")
+
+    def sweep(
+        self, df: DataFrame, logins: dict[str, float] | None = None, distinct: dict[str, tuple[str, int]] | None = None, active: dict[str, int] | None = None,
+        tokens: tuple[str, int, str, str] | None = None, running: dict[str, str] | None = None, more: dict[str, Column] | None = None, number: str = "seq_no_",
+    ) -> DataFrame:
+        """``df`` with ``number`` (the row's number in its sequence, from 1) and
+
+        - logins: events in [t - days, this row], by name and days;
+        - distinct: known values in the hours [h - hours, h], this hour up to this row, by name, value and hours;
+        - active: distinct UTC dates among this one and the days - 1 before;
+        - tokens (column, hours, new, out): the same of arrays of tokens, and whether the actor never had one of them;
+        - running: sums so far of 0/1 columns (null as 0), of ``df`` or ``more``;
+        - more: any other columns over windows, made before.
+        """
+        logins, distinct, active, running = logins or {}, distinct or {}, active or {}, running or {}
+        d = df.withColumns({"us_": self.us, "hour_": self.hour})
+        if tokens:
+            d = self._with_tokens(d, tokens[0], tokens[1], tokens[2])
+        made: dict[str, Column] = dict(more or {})
+        for i, (value, hours) in enumerate(distinct.values()):
+            made[f"in{i}_"], made[f"out{i}_"] = self._gaps(value, hours)
+        day = F.unix_date(F.to_date(F.col(self.time)))
+        if active:
+            made["day_"] = F.when(F.coalesce(F.lag(day).over(self.rows()) != day, F.lit(True)), day)
+        keep = [*dict.fromkeys([*df.columns, *([tokens[2]] if tokens else []), *(more or {})])]
+        d = d.withColumns(made) if made else d
+        mark = lambda t, kind, which, row=None: F.struct(
+            t.cast("long").alias("t_"), F.lit(kind).alias("kind_"), F.lit(which).alias("which_"), (F.lit(None).cast(shape) if row is None else row).alias("row_")
+        )
+        row = F.struct(*d.columns)
+        shape = d.select(row.alias("r")).schema["r"].dataType
+        # What leaves at a row's time has left before it (kind 0), but for events, which stay to the end of their window (kind 2).
+        marks = [mark(F.col("us_"), 1, 0, row)]
+        code, left = 0, {}
+        for out, days in logins.items():
+            left[out] = code = code + 1
+            marks.append(mark(F.col("us_") + int(days * DAY_US), 2, code))
+        for i, out in enumerate(distinct):
+            left[out] = code = code + 1
+            marks.append(mark(F.col(f"out{i}_"), 0, code))
+        for out, days in active.items():
+            left[out] = code = code + 1
+            marks.append(mark((F.col("day_") + days).cast("long") * DAY_US, 0, code))
+        marks = F.filter(F.array(*marks), lambda m: m["t_"].isNotNull())
+        if tokens:
+            left[tokens[3]] = code = code + 1
+            marks = F.concat(marks, F.transform("tokens_out_", lambda t: mark(t, 0, code)))
+        swept = d.select(self.actor, F.explode(marks).alias("m_")).select(self.actor, "m_.*")
+        w = Window.partitionBy(self.actor).orderBy("t_", "kind_", *(F.col(f"row_.{c}") for c in self.ties)).rowsBetween(Window.unboundedPreceding, 0)
+        so_far = lambda c: F.sum(c).over(w)
+        gone = lambda out: so_far((F.col("which_") == left[out]).cast("int"))
+        is_row = (F.col("which_") == 0).cast("int")
+        entered = {out: F.coalesce(F.col(f"row_.in{i}_"), F.lit(0)) for i, out in enumerate(distinct)}
+        entered |= {out: F.col("row_.day_").isNotNull().cast("int") for out in active} | ({tokens[3]: F.coalesce("row_.tokens_in_", F.lit(0))} if tokens else {})
+        out = {number: so_far(is_row)} | {c: so_far(is_row) - gone(c) for c in logins} | {c: (so_far(x) - gone(c)).cast("int") for c, x in entered.items()}
+        out |= {c: so_far(F.coalesce(F.col(f"row_.{f}"), F.lit(0))) for c, f in running.items()}
+        swept = swept.select(self.actor, "which_", "row_", *(x.alias(f"n{i}_") for i, x in enumerate(out.values()))).where("which_ = 0")
+        return swept.select(*(F.col(f"row_.`{c}`").alias(c) for c in keep if c not in out), *(F.col(f"n{i}_").alias(c) for i, c in enumerate(out)))
+
     # --- travel
 
     def distance(self, lat: str = "latitude", lon: str = "longitude") -> Column:

@@ -84,9 +84,7 @@ _DAY = 86_400_000_000
 
 @query("SELECT event_id, actor, " + ", ".join(_COUNTS.format(d * _DAY, n) for d, n in ((1, "logins_24h"), (7, "logins_7d"), (30, "logins_30d"))) + " FROM e")
 def trailing_login_counts(spark, sf):
-    d = events(spark, sf)
-    for days, name in ((1, "logins_24h"), (7, "logins_7d"), (30, "logins_30d")):
-        d = ES.trailing_count(d, days, name)
+    d = ES.sweep(events(spark, sf), logins={"logins_24h": 1, "logins_7d": 7, "logins_30d": 30})
     return d.select("event_id", "actor", "logins_24h", "logins_7d", "logins_30d")
 
 
@@ -95,7 +93,7 @@ def trailing_login_counts(spark, sf):
     "SELECT actor, ok, ln, pk, sk, price, " + ", ".join(_COUNTS.format(d * _DAY, n) for d, n in ((1, "n_24h"), (30, "n_30d"))) + " FROM n", _L
 )
 def trailing_counts_with_ties(spark, sf):
-    d = LS.trailing_count(LS.trailing_count(shipments(spark, sf), 1, "n_24h"), 30, "n_30d")
+    d = LS.sweep(shipments(spark, sf), logins={"n_24h": 1, "n_30d": 30})
     return d.select("actor", "ok", "ln", "pk", "sk", "price", "n_24h", "n_30d")
 
 
@@ -104,19 +102,19 @@ def trailing_counts_with_ties(spark, sf):
     "SELECT event_id, CAST(n AS DOUBLE) / least(30, d - min(d) OVER (PARTITION BY actor) + 1) AS login_rate_30d FROM c"
 )
 def login_rate_30d(spark, sf):
-    d = ES.trailing_count(events(spark, sf), 30, "n")
-    return d.select("event_id", (F.col("n") / ES.calendar_days()).alias("login_rate_30d"))
+    d = ES.sweep(events(spark, sf), logins={"n": 30}, more={"d": ES.calendar_days()})
+    return d.select("event_id", (F.col("n") / F.col("d")).alias("login_rate_30d"))
 
 
 @query("SELECT event_id, CAST(count(DISTINCT CASE WHEN days BETWEEN 0 AND 29 THEN days END) AS INTEGER) AS active_days_30d FROM pairs GROUP BY event_id")
 def active_days_30d(spark, sf):
-    return events(spark, sf).select("event_id", ES.active_days().alias("active_days_30d"))
+    return ES.sweep(events(spark, sf), active={"active_days_30d": 30}).select("event_id", "active_days_30d")
 
 
 @query("SELECT event_id, " + ", ".join(f"CAST(count(DISTINCT CASE WHEN hours <= {h} THEN {c} END) AS INTEGER) AS {c}_{n}" for c in ("cat", "net") for h, n in ((24, "24h"), (168, "7d"), (720, "30d"))) + " FROM pairs GROUP BY event_id")
 def distinct_24h_7d_30d(spark, sf):
-    d = events(spark, sf)
-    return d.select("event_id", *(ES.trailing_distinct(c, h).alias(f"{c}_{n}") for c in ("cat", "net") for h, n in ((24, "24h"), (168, "7d"), (720, "30d"))))
+    names = {f"{c}_{n}": (c, h) for c in ("cat", "net") for h, n in ((24, "24h"), (168, "7d"), (720, "30d"))}
+    return ES.sweep(events(spark, sf), distinct=names).select("event_id", *names)
 
 
 @query("SELECT event_id, count(DISTINCT cat) AS cats_to_date, count(DISTINCT net) AS nets_to_date FROM pairs GROUP BY event_id")
@@ -147,7 +145,7 @@ _TOKENS = "array_sort(list_distinct(o.toks))"
 )
 def token_novelty(spark, sf):
     d = events(spark, sf).withColumn("t", S.tokens(F.col("tok")))
-    return d.select("event_id", ES.any_new_token("t").alias("any_new_token"))
+    return ES.sweep(d, tokens=("t", 720, "any_new_token", "n")).select("event_id", "any_new_token")
 
 
 @query(
@@ -165,7 +163,7 @@ def token_set_changed(spark, sf):
 )
 def distinct_tokens_30d(spark, sf):
     d = events(spark, sf).withColumn("t", S.tokens(F.col("tok")))
-    return d.select("event_id", ES.trailing_distinct("t", 720, tokens=True).alias("tokens_30d"))
+    return ES.sweep(d, tokens=("t", 720, "new", "tokens_30d")).select("event_id", "tokens_30d")
 
 
 # --- cleaning and identity
@@ -231,18 +229,18 @@ _ROOT = "sqrt(pow(sin(radians(lat - lag(lat) OVER w) / 2), 2) + cos(radians(lag(
 _KM = f"2 * 6371.0088 * asin(CASE WHEN {_ROOT} > 1 THEN 1 ELSE {_ROOT} END)"  # not least(), which passes over nulls
 
 
-@query(f"SELECT event_id, CAST(round({_KM}, 2) AS DOUBLE) AS travel_distance_km FROM e WINDOW w AS (PARTITION BY actor ORDER BY rn)")
+@query(f"SELECT event_id, {_R(_KM, 2)} AS travel_distance_km FROM e WINDOW w AS (PARTITION BY actor ORDER BY rn)")
 def haversine_prev(spark, sf):
-    return events(spark, sf).select("event_id", F.round(ES.distance("lat", "lon"), 2).alias("travel_distance_km"))
+    return events(spark, sf).select("event_id", F.bround(ES.distance("lat", "lon"), 2).alias("travel_distance_km"))
 
 
 @query(
     f", t AS (SELECT event_id, {_KM} AS km, {_R('(us - lag(us) OVER w) / 3600000000.0', 4)} AS h FROM e WINDOW w AS (PARTITION BY actor ORDER BY rn)) "
-    "SELECT event_id, CASE WHEN h > 0 THEN CAST(round(km / h, 2) AS DOUBLE) END AS travel_speed_kmh, CASE WHEN h > 0 THEN CAST(km / h > 900 AS INTEGER) END AS is_impossible_travel FROM t"
+    "SELECT event_id, CASE WHEN h > 0 THEN CAST(round_even(km / h, 2) AS DOUBLE) END AS travel_speed_kmh, CASE WHEN h > 0 THEN CAST(km / h > 900 AS INTEGER) END AS is_impossible_travel FROM t"
 )
 def travel_speed(spark, sf):
     d = events(spark, sf).withColumns({"km": ES.distance("lat", "lon"), "h": ES.hours_since_last()}).withColumn("v", speed(F.col("km"), F.col("h")))
-    return d.select("event_id", F.round("v", 2).alias("travel_speed_kmh"), (F.col("v") > 900).cast("int").alias("is_impossible_travel"))
+    return d.select("event_id", F.bround("v", 2).alias("travel_speed_kmh"), (F.col("v") > 900).cast("int").alias("is_impossible_travel"))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_discount BETWEEN 0.02 AND 0.08 THEN l_discount END AS lat, CASE WHEN l_discount BETWEEN 0.02 AND 0.08 THEN l_tax END AS lon FROM lineitem", "")
