@@ -5,9 +5,9 @@ second gives coordinate k after the scattered values were shifted round the ring
 minimum per coordinate yields the signature, without a family of K hash functions.
 
 Bands of the signature propose pairs; each pair is settled on the full shingle sets, whose words are compared byte by byte
-wherever hashes agree. A bucket is never expanded into all its pairs: its members are first compared with one pivot, then
-only members that ended in different components are compared with each other. Before a pair is made, set sizes and one bit
-of each coordinate have to allow the similarity, with a margin of ``MARGIN`` deviations; in the second round that is done
+wherever hashes agree. A bucket is never expanded into all its pairs: its members are compared with one pivot in each of some rounds, as long as that connects many of them, and only
+members that are in different components even then are compared with each other. Before a pair is made, set sizes and one bit
+of each coordinate have to allow the similarity, with a margin of ``MARGIN`` deviations; in the last round that is done
 with ``FINE`` coordinates, in the first bucket that the two share, and in blocks of ``BLOCK`` members.
 """
 
@@ -23,16 +23,18 @@ from pyspark.sql import functions as F
 
 from . import textbytes as tb
 from .components import connected_components
-from .shared import SLICE_BYTES, Workspace, free_name, join_split, likely, read_table
+from .shared import SLICE_BYTES, Workspace, free_name, hot_keys, join_split, likely, read_table
 
 #: Bands and rows of each: a pair at similarity 0.8 is missed with probability (1 - 0.8^7)^64, which is 3e-7.
 BANDS, ROWS = 64, 7
 #: Deviations by which a pair's estimate may fall short: passed by a pair at the threshold but for 2 in 100 million.
 MARGIN = 5.5
-#: Coordinates of which a bit is kept for the second round.
+#: Coordinates of which a bit is kept for the last round.
 FINE = 4096
-#: Members of a bucket that meet in one task in the second round; texts of a task that makes sketches for it.
+#: Members of a bucket that meet in one task in the last round; texts of a task that makes sketches for it.
 BLOCK, TEXTS = 4096, 500
+#: Rounds of pivots at most; what they leave is compared in full.
+ROUNDS = 8
 
 
 def signatures(shingle_hashes: np.ndarray, bounds: np.ndarray, n: int) -> np.ndarray:
@@ -188,23 +190,22 @@ def _components(own: DataFrame, work: Workspace, k: int, percent: int, bands: in
     # From here on a text is known by the row that represents it.
     texts_of = placed.where("bands is not null").select(F.col("row").alias("id"), "n", "bands", "bits")
     rows_ = texts_of.select("id", F.explode("bands").alias("key"))
-    sizes = work.keep(rows_.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
-    shared = work.keep(join_split(rows_, sizes, ["key"], work), "buckets")  # buckets of several texts only
-    # The pivot of a bucket is the text with most neighbours in all its buckets, so that the same few texts are pivots of most.
+    sizes = work.keep(rows_.groupBy("key").agg(F.count("*").alias("n_")).where("n_ > 1"), "sizes")
+    hot = hot_keys(sizes, ["key"], work, counts=sizes)
+    shared = work.keep(join_split(rows_, sizes.withColumnRenamed("n_", "size"), ["key"], work, hot=hot), "buckets")  # buckets of several texts only
     degree = shared.groupBy("id").agg(F.sum("size").alias("degree"))
-    pivots = shared.join(degree, "id").groupBy("key").agg(F.max(F.struct("degree", "id")).alias("top"))
-    pivots = work.keep(pivots.select("key", F.col("top.id").alias("p")), "pivots")
+    shared = work.keep(shared.select("id", "key").join(degree, "id"), "degrees")
 
     def side(x: str) -> DataFrame:
         return texts_of.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
 
     def paired(pairs: DataFrame, of) -> DataFrame:
-        """Pairs with what ``of`` tells of each; a pivot is in very many pairs."""
-        return join_split(join_split(pairs, of("b"), ["b"], work), of("a"), ["a"], work)
+        """Pairs with what ``of`` tells of each; a pivot is in very many pairs. Nothing is joined twice for that."""
+        hot = hot_keys(pairs, ["a"], work)
+        half = join_split(pairs, of("b"), ["b"], work)
+        half = half if hot is None else work.keep(half, "half")
+        return join_split(half, of("a"), ["a"], work, hot=hot)
 
-    pairs = join_split(shared.select("id", "key"), pivots, ["key"], work).where("id <> p").select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b"))
-    pairs = work.keep(pairs.distinct(), "proposed")
-    pairs = work.keep(paired(pairs, side).where(near_enough("bits", bands * rows, percent)).select("a", "b"), "pairs")
     needed = work.keep(shared.select("id").distinct(), "needed")
     texts = likely(own.select(F.col("row").alias("id"), "text"), needed).join(needed, "id")  # no semi-join, which Spark would do before the map
     texts = work.keep(texts, "texts")
@@ -213,35 +214,58 @@ def _components(own: DataFrame, work: Workspace, k: int, percent: int, bands: in
         two = paired(p, lambda x: texts.select(F.col("id").alias(x), F.col("text").alias(f"text_{x}")))
         return work.keep(two.select("a", "b", "text_a", "text_b").mapInArrow(_settle(k, percent, 100), pair_schema), name)
 
-    links = settled(pairs, "links")
-    roots = work.keep(connected_components(links, work), "roots")
-    # Members of a bucket that are not yet connected: each with every member of another component, once in all buckets.
-    placed = shared.select("id", "key").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    placed = work.keep(placed, "rooted")
-    open_ = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.ceil(F.count("*") / BLOCK).alias("blocks")).where("r0 < r1")
-    open_ = work.keep(open_.select("key", "blocks"), "open")
-    about = texts_of.select("id", "n", F.transform("bands", lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("marks"), "bands")
-    placed = work.keep(join_split(placed, open_, ["key"], work), "open")
-    unsettled = work.keep(placed.select("id").distinct(), "unsettled")
-    tasks = max(1, -(-unsettled.count() // TEXTS))
-    fine = texts.join(unsettled, "id").repartition(tasks, "id").mapInArrow(_fine(k), "id long, fine array<long>")
-    about = work.keep(about.join(fine, "id"), "sketches")
-    placed = placed.join(about, "id").withColumn("nth", F.array_position("bands", F.col("key"))).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    placed = work.keep(placed.drop("bands"), "open")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))  # a block meets each block; a bucket of up to BLOCK members is one
-    left = placed.withColumn("block_b", other).withColumnRenamed("block", "block_a")
-    right = placed.withColumn("block_a", other).withColumnRenamed("block", "block_b")
-    left, right = (d.select("key", "block_a", "block_b", "nth", *(F.col(c).alias(f"{c}_{x}") for c in ("id", "root", "n", "marks", "fine"))) for d, x in ((left, "a"), (right, "b")))
-    first_shared = F.array_position(F.zip_with("marks_a", "marks_b", lambda x, y: x == y), True) == left["nth"]
-    same = (left["key"] == right["key"]) & (left["block_a"] == right["block_a"]) & (left["block_b"] == right["block_b"])
-    apart = same & (F.col("id_a") < F.col("id_b")) & (F.col("root_a") != F.col("root_b"))
-    rest = left.join(right, apart & near_enough("fine", FINE, percent) & first_shared)
-    rest = rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).join(pairs, ["a", "b"], "left_anti")
-    more = settled(work.keep(rest, "rest"), "more")
-    roots2 = work.keep(connected_components(links.union(more), work), "roots")
+    # Each round compares the members of a bucket with one pivot that is not yet connected with them: the text that has most
+    # neighbours in all its buckets, then the next one, so that the same few texts are pivots of most buckets.
+    none = work.spark.createDataFrame([], pair_schema)
+    tried, links, placed, last, open_ids = none, none, shared.withColumn("root", F.col("id")), None, 0
+    for _ in range(ROUNDS):
+        top = F.struct("degree", "id", "root")
+        left = placed if last is None else join_split(placed, last, ["key"], work).where(F.struct("degree", "id") < F.struct("top.degree", "top.id")).drop("top")
+        pivots = work.keep(left.groupBy("key").agg(F.max(top).alias("top")), "pivots")
+        last = pivots if last is None else work.keep(pivots.unionByName(last.join(pivots, "key", "left_anti")), "last")
+        pairs = join_split(placed, pivots, ["key"], work).where(F.col("root") != F.col("top.root"))
+        pairs = pairs.select(F.least("id", "top.id").alias("a"), F.greatest("id", "top.id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+        pairs = work.keep(pairs, "proposed")
+        tried = work.keep(tried.unionByName(pairs), "tried")
+        more = settled(work.keep(paired(pairs, side).where(near_enough("bits", bands * rows, percent)).select("a", "b"), "pairs"), "more")
+        found = more.count()
+        if last is not pivots and not found:
+            break
+        links = work.keep(links.unionByName(more), "links")
+        roots = work.keep(connected_components(links, work), "roots")
+        # What is left are the buckets whose members are not yet all connected.
+        placed = shared.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+        placed = work.keep(placed, "rooted")
+        open_ = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.ceil(F.count("*") / BLOCK).alias("blocks")).where("r0 < r1")
+        open_ = work.keep(open_.select("key", "blocks"), "open")
+        placed = work.keep(join_split(placed, open_, ["key"], work), "open")
+        unsettled = work.keep(placed.select("id").distinct(), "unsettled")
+        open_ids = unsettled.count()
+        if found * 50 < open_ids or not open_ids:
+            break
+    # The rest: each member with every member of another component, once in all buckets.
+    if open_ids:
+        about = texts_of.select("id", "n", F.transform("bands", lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("marks"), "bands")
+        tasks = max(1, -(-open_ids // TEXTS))
+        fine = texts.join(unsettled, "id").repartition(tasks, "id").mapInArrow(_fine(k), "id long, fine array<long>")
+        about = work.keep(about.join(fine, "id"), "sketches")
+        placed = placed.drop("degree").join(about, "id").withColumn("nth", F.array_position("bands", F.col("key"))).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+        placed = work.keep(placed.drop("bands"), "open")
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))  # a block meets each block; a bucket of up to BLOCK members is one
+        left = placed.withColumn("block_b", other).withColumnRenamed("block", "block_a")
+        right = placed.withColumn("block_a", other).withColumnRenamed("block", "block_b")
+        left, right = (d.select("key", "block_a", "block_b", "nth", *(F.col(c).alias(f"{c}_{x}") for c in ("id", "root", "n", "marks", "fine"))) for d, x in ((left, "a"), (right, "b")))
+        first_shared = F.array_position(F.zip_with("marks_a", "marks_b", lambda x, y: x == y), True) == left["nth"]
+        same = (left["key"] == right["key"]) & (left["block_a"] == right["block_a"]) & (left["block_b"] == right["block_b"])
+        apart = same & (F.col("id_a") < F.col("id_b")) & (F.col("root_a") != F.col("root_b"))
+        rest = left.join(right, apart & near_enough("fine", FINE, percent) & first_shared)
+        rest = rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).join(tried, ["a", "b"], "left_anti")
+        more = settled(work.keep(rest, "rest"), "more")
+        if not more.isEmpty():
+            roots = work.keep(connected_components(links.union(more), work), "roots")
     firsts = members.where("row = rep.row").select(F.col("row").alias("node"), "rep")
-    firsts = work.keep(roots2.join(firsts, "node").groupBy("root").agg(F.min("rep").alias("first")), "firsts")
-    linked = work.keep(join_split(roots2, firsts, ["root"], work).select("node", "first"), "linked")
+    firsts = work.keep(roots.join(firsts, "node").groupBy("root").agg(F.min("rep").alias("first")), "firsts")
+    linked = work.keep(join_split(roots, firsts, ["root"], work).select("node", "first"), "linked")
     single = members.select(F.col("rep.row").alias("node")).distinct().join(linked, "node", "left_anti").select("node", F.lit(None).cast(linked.schema["first"].dataType).alias("first"))
     every = work.keep(linked.unionByName(single), "every")
     out = join_split(members.withColumn("node", F.col("rep.row")), every, ["node"], work)

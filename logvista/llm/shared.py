@@ -110,19 +110,29 @@ def broadcast_if_small(df: DataFrame, most: int, most_bytes: int = 1 << 25) -> D
     return F.broadcast(df) if size <= most_bytes else df
 
 
-def join_split(left: DataFrame, right: DataFrame, key: list[str], work: Workspace, share: int = 1000, least: int = 1000) -> DataFrame:
-    """``left`` joined with ``right``, which has one row a key, where ``left`` may hold one key very often. Null keys match nothing.
+def hot_keys(left: DataFrame, key: list[str], work: Workspace, share: int = 1000, least: int = 1000, counts: DataFrame | None = None) -> DataFrame | None:
+    """Keys on more than 1/share of the rows (and more than ``least``), of which there are fewer than ``share``; None if there are none.
 
-    Keys on more than 1/share of the rows (and more than ``least``) are counted first; there are fewer than ``share`` of
-    them, so that their rows of ``right`` are broadcast and the rows of ``left`` stay where they are. All others meet by a
-    shuffle.
+    ``counts`` are the numbers of rows by key (a column n_) if they are known.
     """
-    rows = left.count()
+    rows = left.count() if counts is None else counts.agg(F.coalesce(F.sum("n_"), F.lit(0))).first()[0]
     if rows <= least:
-        return left.join(right, key)
-    counts = left.groupBy(*key).agg(F.count("*").alias("n_"))
+        return None
+    counts = left.groupBy(*key).agg(F.count("*").alias("n_")) if counts is None else counts
     hot = work.keep(counts.where(F.col("n_") > max(least, rows // share)).dropna(subset=key).select(*key), "hot")
-    if hot.isEmpty():
+    return None if hot.isEmpty() else hot
+
+
+def join_split(left: DataFrame, right: DataFrame, key: list[str], work: Workspace, share: int = 1000, least: int = 1000, hot: DataFrame | None | str = "count") -> DataFrame:
+    """``left`` joined with ``right``, which has one row a key, where ``left`` may hold one key very often. Null keys match nothing.
+
+    Frequent keys (``hot_keys``, or ``hot`` if that is known) are so few that their rows of ``right`` are broadcast and the
+    rows of ``left`` stay where they are. All others meet by a shuffle. ``left`` is read several times and should be a
+    written table.
+    """
+    if isinstance(hot, str):
+        hot = hot_keys(left, key, work, share, least)
+    if hot is None:
         return left.join(right, key)
     hot = F.broadcast(hot)
     frequent = F.broadcast(work.keep(right.join(hot, key, "left_semi"), "frequent"))

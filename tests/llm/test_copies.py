@@ -13,7 +13,7 @@ from logvista.llm import op1_minhash as N
 from logvista.llm import op6_mixing as X
 from logvista.llm import op7_exact_dedup as E
 from logvista.llm import textbytes as tb
-from logvista.llm.shared import Workspace, join_split
+from logvista.llm.shared import Workspace, hot_keys, join_split
 
 from .conftest import thue_morse
 
@@ -100,7 +100,9 @@ def test_large_groups_and_buckets_in_blocks(spark, monkeypatch):
     s = sets(every, 5)
     want = components(s)
     monkeypatch.setattr(N, "BLOCK", 3)
-    monkeypatch.setattr(N, "join_split", lambda left, right, key, work: join_split(left, right, key, work, 30, 2))
+    few = lambda left, key, work, counts=None: hot_keys(left, key, work, 30, 2, counts)
+    monkeypatch.setattr(N, "hot_keys", few)
+    monkeypatch.setattr(N, "join_split", lambda left, right, key, work, hot="count": join_split(left, right, key, work, hot=few(left, key, work) if isinstance(hot, str) else hot))
     got = {r["doc_id"]: r["component_id"] for r in N.near_duplicates(d).collect()}
     assert got == dict(enumerate(want)) and 4 < len(set(want)) < 90
 
