@@ -10,19 +10,19 @@ EARTH_KM = 6371.0088
 COUNTRIES = {"The Netherlands": "Netherlands"}
 #: Continents of the countries that a release may hold. What is not listed maps to null.
 CONTINENTS = {
-    "Africa": ("Algeria Angola Benin Botswana Burundi Cameroon Chad Djibouti Egypt Eritrea Ethiopia Gabon Gambia Ghana Guinea Kenya Lesotho Liberia Libya Madagascar Malawi Mali Mauritania "
-               "Mauritius Morocco Mozambique Namibia Niger Nigeria Rwanda Senegal Somalia Sudan Tanzania Togo Tunisia Uganda Zambia Zimbabwe,South Africa,Cape Verde,Sierra Leone,Ivory Coast,"
-               "Burkina Faso,Guinea-Bissau,Equatorial Guinea,São Tomé and Príncipe,Democratic Republic of the Congo,Republic of the Congo"),
-    "Asia": ("Afghanistan Armenia Azerbaijan Bahrain Bangladesh Bhutan Cambodia China Georgia India Indonesia Iran Iraq Israel Japan Jordan Kazakhstan Kuwait Kyrgyzstan Laos Lebanon Macao Malaysia "
+    "Africa": ("Algeria Eswatini Comoros Seychelles Angola Benin Botswana Burundi Cameroon Chad Djibouti Egypt Eritrea Ethiopia Gabon Gambia Ghana Guinea Kenya Lesotho Liberia Libya Madagascar Malawi Mali Mauritania "
+               "Mauritius Morocco Mozambique Namibia Niger Nigeria Rwanda Senegal Somalia Sudan Tanzania Togo Tunisia Uganda Zambia Zimbabwe,South Africa,Cape Verde,Sierra Leone,Ivory Coast,South Sudan,Central African Republic,"
+               "Burkina Faso,Guinea-Bissau,Equatorial Guinea,São Tomé and Príncipe,Democratic Republic of the Congo,Republic of the Congo,Cabo Verde"),
+    "Asia": ("Afghanistan Brunei Armenia Azerbaijan Bahrain Bangladesh Bhutan Cambodia China Georgia India Indonesia Iran Iraq Israel Japan Jordan Kazakhstan Kuwait Kyrgyzstan Laos Lebanon Macao Malaysia "
              "Maldives Mongolia Myanmar Nepal Oman Pakistan Palestine Philippines Qatar Singapore Syria Taiwan Tajikistan Thailand Turkmenistan Türkiye Turkey Uzbekistan Vietnam Yemen,"
-             "Hong Kong,Saudi Arabia,South Korea,Sri Lanka,United Arab Emirates,Timor-Leste"),
+             "Hong Kong,Saudi Arabia,South Korea,North Korea,Sri Lanka,United Arab Emirates,Timor-Leste"),
     "Europe": ("Albania Andorra Austria Belarus Belgium Bulgaria Croatia Cyprus Czechia Denmark Estonia Finland France Germany Greece Hungary Iceland Ireland Italy Kosovo Latvia Liechtenstein "
                "Lithuania Luxembourg Malta Moldova Monaco Montenegro Netherlands Norway Poland Portugal Romania Russia Serbia Slovakia Slovenia Spain Sweden Switzerland Ukraine,"
-               "United Kingdom,North Macedonia,San Marino,Bosnia and Herzegovina"),
+               "United Kingdom,North Macedonia,Czech Republic,Vatican City,San Marino,Bosnia and Herzegovina"),
     "North America": ("Bahamas Barbados Belize Canada Cuba Dominica Grenada Guatemala Haiti Honduras Jamaica Mexico Nicaragua Panama,United States,Costa Rica,Dominican Republic,El Salvador,Puerto Rico,"
-                      "Trinidad and Tobago"),
+                      "Trinidad and Tobago,Saint Lucia,Saint Kitts and Nevis,Saint Vincent and the Grenadines,Antigua and Barbuda"),
     "South America": "Argentina Bolivia Brazil Chile Colombia Ecuador Guyana Paraguay Peru Suriname Uruguay Venezuela",
-    "Oceania": "Australia Fiji Kiribati Nauru Palau Samoa Tonga Tuvalu Vanuatu,New Zealand,Papua New Guinea,Solomon Islands",
+    "Oceania": "Australia Micronesia Fiji Kiribati Nauru Palau Samoa Tonga Tuvalu Vanuatu,New Zealand,Marshall Islands,Papua New Guinea,Solomon Islands",
 }
 CHALLENGES = ("password", "passkey", "device_prompt", "idv_preregistered_phone", "idv_preregistered_email")
 
@@ -127,6 +127,11 @@ def profile(prior: Column) -> Column:
     return F.when(prior == 0, "0").when(prior < 10, "1-9").when(prior >= 10, ">=10")
 
 
+def known_history(hours_since_last: Column) -> Column:
+    """The earliest form of the history flag: 1 after some time since the previous login, 0 without one or at the same instant."""
+    return F.coalesce((hours_since_last > 0).cast("int"), F.lit(0))
+
+
 def geo_jump(country_changed: Column, continent_changed: Column) -> Column:
     """Changes of country and continent together, 0 to 2."""
     return country_changed + continent_changed

@@ -150,9 +150,17 @@ def describe(df: DataFrame, key: str, value: str) -> DataFrame:
     return g.join(F.broadcast(q), F.col(key).eqNullSafe(F.col("k_"))).select(key, "n", "mean", "std", "low", "q1", "median", "q3", "high")
 
 
-def statistics(df: DataFrame, actor: str, time: str, signal: str, country: str) -> dict:
+def statistics(df: DataFrame, actor: str, time: str, signal: str, country: str, name: str = "", version: str = "", sha256: str = "") -> dict:
     """The flat document of public statistics; every entry comes from a result of a few rows."""
-    out = {r["metric"]: r["value"] for r in overview(df, actor, time, signal, len(df.columns)).collect()}
+    o = {r["metric"]: r["value"] for r in overview(df, actor, time, signal, len(df.columns)).collect()}
     counts = per_actor(df, actor, signal)
-    out |= actor_activity(df, actor, signal).first().asDict() | gini(counts).first().asDict() | country_summary(df, country).first().asDict()
-    return out | {f"top_{round(r['share'] * 100)}pct_event_share_pct": r["percent"] for r in top_share(counts).collect()}
+    a = actor_activity(df, actor, signal).first()
+    top = {round(r["share"] * 100): r["percent"] for r in top_share(counts).collect()}
+    places = country_summary(df, country).first()
+    return {
+        "dataset_name": name, "dataset_version": version, "public_sha256": sha256, "events": int(o["events"]), "actors": int(o["actors"]), "public_attributes": int(o["attributes"]),
+        "public_time_hour_min": o["first_hour"], "public_time_hour_max": o["last_hour"], "singleton_users": a["singletons"], "recurrent_users": a["recurrent"], "events_with_prior_history": a["with_history"],
+        "events_without_prior_history": a["without_history"], "provider_suspicious_0": int(o["not_flagged"]), "provider_suspicious_1": int(o["flagged"]), "provider_suspicious_pct": float(o["flagged_percent"]),
+        "actor_events_q1": a["q1"], "actor_events_median": a["median"], "actor_events_q3": a["q3"], "actor_events_max": a["largest"], "activity_gini": gini(counts).first()["gini"],
+        "top_1pct_actor_event_share_pct": top[1], "top_10pct_actor_event_share_pct": top[10], "known_country_values": places["known_country_values"], "missing_country_events": places["missing_country_events"],
+    }

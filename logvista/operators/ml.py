@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .describe import top_k
-from .sampling import quantiles, running
+from .sampling import quantiles, running, seeded
 
 
 def drop_gaps(df: DataFrame, columns: list[str], label: str) -> tuple[DataFrame, dict]:
@@ -198,14 +198,46 @@ def search(train: DataFrame, validation: DataFrame, columns: list[str], label: s
     return best, -area
 
 
-def early_stopping(train: DataFrame, validation: DataFrame, columns: list[str], label: str, rounds: int = 2000, tolerance: float = 0.01, seed: int = 42):
-    """Boosted trees that stop when the loss on validation no longer falls."""
+def early_stopping(train: DataFrame, validation: DataFrame, columns: list[str], label: str, rounds: int = 2000, patience: int = 30, step: int = 30, seed: int = 42) -> dict:
+    """Boosted trees that stop once the area on validation has not risen for ``patience`` rounds: model, best_round, area.
+
+    Rounds are added ``step`` at a time, by a model of that many more; with one seed the first trees of a longer model are
+    those of a shorter one, so that the area after every round is read off the longest. Its trees after the best are left out
+    of the score.
+    """
     from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import vector_to_array
+
+    a, b = (assemble(d, columns, label).persist() for d in (train, validation))
+    best, n = (-1.0, 0), 0
+    while n < rounds:
+        n = min(rounds, n + step)
+        model = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=n, maxDepth=6, seed=seed).fit(a)
+        for i in range(best[1] if best[1] == 0 else n - step, n):
+            part = _first_trees(model, i + 1).transform(b).withColumn("score", vector_to_array("rawPrediction")[1])
+            area = roc_auc(cumulated(part)).first()["roc_auc"] or 0.0
+            if area > best[0]:
+                best = (area, i + 1)
+            if i + 1 - best[1] >= patience:
+                break
+        if n - best[1] >= patience:
+            break
+    a.unpersist(), b.unpersist()
+    return {"model": _first_trees(model, best[1]), "best_round": best[1], "roc_auc": best[0]}
+
 
-    both = train.withColumn("held_", F.lit(False)).unionByName(validation.withColumn("held_", F.lit(True)))
-    d = assemble(both, columns, label)
-    est = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", validationIndicatorCol="held_", maxIter=rounds, validationTol=tolerance, maxDepth=6, seed=seed)
-    return est.fit(d)
+def _first_trees(model, n: int):
+    """The boosted model of the first n trees."""
+    from pyspark import SparkContext
+    from pyspark.ml.classification import GBTClassificationModel
+
+    java, context = model._java_obj, SparkContext._active_spark_context
+    ml = context._jvm.org.apache.spark.ml
+    trees = context._gateway.new_array(ml.regression.DecisionTreeRegressionModel, n)
+    weights = context._gateway.new_array(context._jvm.double, n)
+    for i, (tree, weight) in enumerate(zip(java.trees()[:n], list(java.treeWeights())[:n], strict=True)):
+        trees[i], weights[i] = tree, weight
+    return GBTClassificationModel(ml.classification.GBTClassificationModel(java.uid(), trees, weights, java.numFeatures(), 2))
 
 
 def gains(before: dict[str, dict], after: dict[str, dict], metric: str = "roc_auc") -> list[tuple[str, float, float, float]]:
@@ -241,7 +273,9 @@ class IsolationForest:
             left = rows[:, j] < cut
             return j, cut, grow(rows[left], depth + 1), grow(rows[~left], depth + 1)
 
-        return IsolationForest([grow(x[rng.choice(len(x), size, replace=False)], 0) for _ in range(trees)], size)
+        own = len(x) >= trees * size  # rows of its own for every tree, or a draw for each
+        rows = lambda i: x[i * size : (i + 1) * size] if own else x[rng.choice(len(x), size, replace=False)]
+        return IsolationForest([grow(rows(i), 0) for i in range(trees)], size)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         total = np.zeros(len(x))
@@ -262,12 +296,15 @@ class IsolationForest:
         return 2.0 ** (-total / len(self.trees) / max(_path(self.size), 1e-9))
 
 
-def isolation_scores(train: DataFrame, test: DataFrame, columns: list[str], sample: int = 20_000, seed: int = 42, trees: int = 200) -> DataFrame:
-    """``test`` with ``score``; the forest is grown on a seeded sample of at most ``sample`` training rows."""
-    n = max(1, train.count())
+def isolation_scores(train: DataFrame, test: DataFrame, columns: list[str], key: str, trees: int = 200, size: int = 256, seed: int = 42) -> DataFrame:
+    """``test`` with ``score``. Each tree grows on its own ``size`` rows, drawn from all rows of ``train`` by a seeded hash of ``key``.
+
+    The trees * size rows of smallest hash come to the driver, whatever the layout of the table.
+    """
     numeric = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns]
-    x = train.select(*numeric).sample(fraction=min(1.0, 1.2 * sample / n), seed=seed).limit(sample).toPandas().to_numpy()
-    forest = IsolationForest.fit(x, trees=trees, seed=seed)
+    order = seeded(key, seed)
+    x = train.select(*numeric, order.alias("order_")).orderBy("order_").limit(trees * size).drop("order_").toPandas().to_numpy()
+    forest = IsolationForest.fit(x, trees=trees, size=size, seed=seed)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:

@@ -169,3 +169,8 @@ def actor_sample(
         raise ValueError(f"{total} events of eligible actors, fewer than {least}")
     names = df.sparkSession.createDataFrame([(a,) for a in chosen], [actor])  # at most ``most`` rows
     return df.join(F.broadcast(names.withColumn(actor, F.col(actor).cast(df.schema[actor].dataType))), actor, "left_semi")
+
+
+def in_sample_order(sample: DataFrame, actor: str = "actor_pseudo_id", key: str = "event_id") -> DataFrame:
+    """A sample with ``position``, the place of each event by actor, number in its sequence and id, in that order within each part."""
+    return number_rows(sample, [F.col(actor), F.col("prior_event_count"), F.col(key)], "position")

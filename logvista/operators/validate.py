@@ -95,6 +95,17 @@ def not_subset(sample: DataFrame, source: DataFrame, key: str) -> int:
     return sample.join(source.select(key), key, "left_anti").count()
 
 
+def sample_errors(source: DataFrame, sample: DataFrame, actor: str = "actor_pseudo_id", key: str = "event_id") -> dict:
+    """What keeps a sample from being whole actors of its source: events (how many), columns that only one of the two has,
+    repeated events, actors with another number of events than in the source, and events that the source lacks."""
+    count = lambda d, n: d.groupBy(actor).agg(F.count("*").alias(n))
+    per = count(sample, "n_").join(count(source, "of_"), actor, "left")
+    return {
+        "events": sample.count(), "columns": sorted(set(sample.columns) ^ set(source.columns)), "repeated": sample.groupBy(key).count().where("count > 1").count(),
+        "incomplete_actors": per.where("of_ is null or n_ <> of_").count(), "unknown_events": not_subset(sample, source, key),
+    }
+
+
 def raw_hash_text(df: DataFrame, raw_hashes: DataFrame) -> int:
     """Cells of a public table that are one of the raw hashes (a column ``hash``)."""
     text = [c for c, t in df.dtypes if t == "string"]

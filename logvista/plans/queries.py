@@ -13,14 +13,13 @@ from ..operators import describe as D
 from ..operators import ml as M
 from ..operators import sampling as P
 from ..operators import stats as T
-from ..operators import validate as V
 from ..operators.features import add_features
 from ..operators.windows import speed
 from ..sources.adapters import E_SEQUENCE as ES
 from ..sources.adapters import L_SEQUENCE as LS
 from ..sources.adapters import events, shipments, table
+from ..sources.staging import staged
 from .process import dedupe_keep_first
-from .schema import PUBLIC_42, RESTRICTED_50
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -212,19 +211,6 @@ def calendar_parts(spark, sf):
     return events(spark, sf).select("event_id", *(c.alias(n) for n, c in parts.items()))
 
 
-_LOOKUP = ", ".join(f"({c!r}, {k!r})" for c, k in S.continent_rows() if c in ("Angola", "Brazil", "France", "Japan"))
-_NAMES = ["Angola", "Brazil", "France", "Japan", "Atlantis"]
-
-
-@query(
-    f", names AS (SELECT event_id, CASE WHEN event_id % 6 < 5 THEN ([{', '.join(map(repr, _NAMES))}])[CAST(event_id % 6 + 1 AS INTEGER)] END AS country FROM e) "
-    f"SELECT event_id, country, continent FROM names LEFT JOIN (VALUES {_LOOKUP}) m(c, continent) ON country = c"
-)
-def continent_lookup(spark, sf):
-    name = F.when(F.col("event_id") % 6 < 5, F.element_at(F.array(*map(F.lit, _NAMES)), (F.col("event_id") % 6 + 1).cast("int")))
-    return S.with_continent(events(spark, sf).select("event_id", name.alias("country")), "country").select("event_id", "country", "continent")
-
-
 _ROOT = "sqrt(pow(sin(radians(lat - lag(lat) OVER w) / 2), 2) + cos(radians(lag(lat) OVER w)) * cos(radians(lat)) * pow(sin(radians(lon - lag(lon) OVER w) / 2), 2))"
 _KM = f"2 * 6371.0088 * asin(CASE WHEN {_ROOT} > 1 THEN 1 ELSE {_ROOT} END)"  # not least(), which passes over nulls
 
@@ -243,15 +229,6 @@ def travel_speed(spark, sf):
     return d.select("event_id", F.bround("v", 2).alias("travel_speed_kmh"), (F.col("v") > 900).cast("int").alias("is_impossible_travel"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_discount BETWEEN 0.02 AND 0.08 THEN l_discount END AS lat, CASE WHEN l_discount BETWEEN 0.02 AND 0.08 THEN l_tax END AS lon FROM lineitem", "")
-def coordinate_pairs(spark, sf):
-    d = table(spark, sf, "lineitem")
-    scale = lambda c: (F.col(c) - 0.05) * 3000
-    lat, _ = S.coordinates(scale("l_discount"), F.lit(0.0))
-    inside = lat.isNotNull()
-    return d.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.when(inside, F.col("l_discount")).alias("lat"), F.when(inside, F.col("l_tax")).alias("lon"))
-
-
 @query(
     "SELECT event_id, " + ", ".join(f"CASE WHEN tok LIKE '%{c}%' THEN 1 ELSE 0 END AS uses_{c}" for c in ("click", "error", "t1")) + " FROM (SELECT event_id, coalesce(tok, '') AS tok FROM e)"
 )
@@ -264,13 +241,6 @@ def substring_flags(spark, sf):
 _G = " count(*) AS events, CAST(sum(sig) AS BIGINT) AS flagged, avg(sig) * 100 AS percent"
 
 
-@query(
-    "SELECT unnest(['events', 'actors', 'attributes', 'flagged', 'not_flagged']) AS metric, unnest([count(*), count(DISTINCT actor), 12, sum(sig), sum(1 - sig)])::BIGINT::VARCHAR AS value FROM e"
-)
-def overview(spark, sf):
-    return D.overview(events(spark, sf), "actor", "ts", "sig", 12).where(F.col("metric").isin("events", "actors", "attributes", "flagged", "not_flagged"))
-
-
 _C = ", c AS (SELECT actor, count(*) AS x FROM e GROUP BY actor)"
 
 
@@ -453,12 +423,6 @@ def above_cap(spark, sf):
     return P.above_cap(events(spark, sf), "actor", 40)
 
 
-@query()
-def actor_sample(spark, sf):
-    d = events(spark, sf)
-    return P.actor_sample(d, "actor", "sig", sizes=(2, 200)).select("event_id", "actor")
-
-
 @query(
     ", k AS (SELECT country FROM l GROUP BY 1 ORDER BY count(*) DESC, country LIMIT 5) SELECT CASE WHEN country IN (SELECT country FROM k) THEN country ELSE '_other_' END AS country, count(*) AS events FROM l GROUP BY 1", _L
 )
@@ -559,43 +523,20 @@ def _release(spark, sf):
     return add_features(S.with_continent(as_logins(spark, sf)))
 
 
-@query()
-def release_public(spark, sf):
-    return _release(spark, sf).select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in PUBLIC_42.fields))
-
-
-@query()
-def release_restricted(spark, sf):
-    return _release(spark, sf).select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in RESTRICTED_50.fields))
-
-
-@query("SELECT 0 AS broken_rows", "")
-def invariants(spark, sf):
-    return spark.createDataFrame([(sum(V.invariants(release_restricted(spark, sf)).values()),)], "broken_rows int")
-
-
-@query("SELECT 0 AS different_rows", "")
-def recomputation(spark, sf):
-    """The features a second way; how many events differ."""
-    full = release_restricted(spark, sf)
-    return spark.createDataFrame([(V.differs(V.recompute(full).drop("actor_pseudo_id"), full, "event_id"),)], "different_rows int")
-
-
 @query()
 def model_benchmark(spark, sf):
-    """Small models on the release's features: a row a model."""
-    from pyspark.ml import classification as C
-
+    """All classifiers on the release's features: a row a model."""
     columns = ["prior_event_count", "logins_24h", "logins_7d", "logins_30d", "login_rate_30d", "event_hour", "day_of_week", "distinct_networks_7d", "is_new_ip"]
-    d = P.temporal_split(_release(spark, sf), F.unix_micros("event_time"), [F.col("event_id")]).select("event_id", "split", "provider_suspicious", *columns).persist()
-    parts = [d.where(F.col("split") == s) for s in ("train", "validation", "test")]
-    some = {"logistic_regression": C.LogisticRegression(maxIter=50, weightCol="weight"), "decision_tree": C.DecisionTreeClassifier(maxDepth=4, seed=42, weightCol="weight")}
-    found = M.benchmark(*parts, columns, "provider_suspicious", some)
-    d.unpersist()
+    features = _release(spark, sf).select("event_id", "event_time", "provider_suspicious", *columns)
+    d = P.temporal_split(staged(features, "features"), F.unix_micros("event_time"), [F.col("event_id")])
+    found = M.benchmark(*(d.where(F.col("split") == s) for s in ("train", "validation", "test")), columns, "provider_suspicious")
     return spark.createDataFrame([(k, float(v["roc_auc"] or 0), float(v["average_precision"] or 0), float(v["f1"])) for k, v in found.items()], "model string, roc_auc double, average_precision double, f1 double")
 
 
 @query()
 def isolation_forest(spark, sf):
     d = events(spark, sf).select("event_id", F.hour("ts").cast("double").alias("hour"), "value")
-    return M.isolation_scores(d, d, ["hour", "value"], sample=5000, trees=50).select("event_id", "score")
+    return M.isolation_scores(d, d, ["hour", "value"], "event_id").select("event_id", "score")
+
+
+from . import more_queries  # noqa: E402, F401  (registers its queries)

@@ -7,7 +7,7 @@ import json
 from collections.abc import Iterator
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ORDER = ["event_time", "event_id"]
@@ -21,6 +21,13 @@ def file_hash(path: str, chunk: int = 1 << 20) -> str:
     return digest.hexdigest()
 
 
+def file_hashes(spark: SparkSession, folder: str) -> dict[str, str]:
+    """The SHA-256 of each data file in a folder of any store, by its name; found where the files are read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
+    rows = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha256")).collect()  # a row a file
+    return {r["name"]: r["sha256"] for r in sorted(rows, key=lambda r: r["name"])}
+
+
 def parts(folder: str) -> Iterator[Path]:
     return (p for p in sorted(Path(folder).iterdir()) if p.name.startswith("part-"))
 
@@ -49,7 +56,7 @@ def summary(restricted: DataFrame) -> DataFrame:
     return total.crossJoin(per)  # one row each
 
 
-def manifest(restricted: DataFrame, public_columns: list[str], counts: dict[str, int], hashes: dict[str, str] | None = None) -> dict:
+def manifest(restricted: DataFrame, public_columns: list[str], counts: dict[str, int], hashes: dict | None = None) -> dict:
     row = summary(restricted).first().asDict()
     known = {k: v.isoformat() if hasattr(v, "isoformat") else v for k, v in row.items()}
     return known | counts | {

@@ -14,6 +14,7 @@ from logvista.operators import ml as M
 from logvista.operators import sampling as P
 from logvista.operators import stats as T
 from logvista.operators import validate as V
+from logvista.operators.windows import Sequence
 from logvista.plans.schema import RAW
 from logvista.sources import api_json as A
 from logvista.streaming import landing
@@ -69,7 +70,8 @@ def test_summaries_with_missing(spark):
     assert {r["value"]: r["events"] for r in D.category(d, "c").collect()} == {"A": 2, "<missing>": 1, "B": 1}
     assert {r["token"]: r["occurrences"] for r in D.token_distribution(d, "t").collect()} == {"x": 2, "y": 3}
     assert {r["c"] for r in D.group_rare(d, "c", 2).collect()} == {"A", None, "Other"}
-    assert D.statistics(d, "a", "time", "s", "c")["known_country_values"] == 2
+    doc = D.statistics(d, "a", "time", "s", "c", "n", "1", "h")
+    assert doc["known_country_values"] == 2 and doc["events"] == 4 and doc["public_sha256"] == "h" and len(doc) == 24
     x, bias = M.drop_gaps(d, ["c", "t"], "s")
     assert x.count() == 3 and bias["dropped"] == 1
     hot = M.one_hot(d, "c", M.top_values(d, "c", 1))
@@ -109,6 +111,12 @@ def test_models(spark):
     assert best == {"maxDepth": 4} and area > 0.8
     forest = M.IsolationForest.fit(np.concatenate([x, [[9.0, 9.0]]]), trees=50)
     assert forest.score(np.array([[9.0, 9.0], [0.0, 0.0]]))[0] > 0.6 > forest.score(np.array([[0.0, 0.0]]))[0]
+    e = M.early_stopping(train, rest, ["a", "b"], "y", rounds=6, patience=2, step=3)
+    assert 1 <= e["best_round"] <= 6 and e["roc_auc"] > 0.9 and e["model"].getNumTrees == e["best_round"]
+    top = M.importances(tree.fit(M.assemble(train, ["a", "b"], "y")), ["a", "b"])
+    assert [n for n, _ in top] and abs(sum(v for _, v in top) - 1) < 1e-9
+    scored = M.isolation_scores(d, d, ["a", "b"], "id", trees=20, size=16).collect()
+    assert len(scored) == 600 and {(r["id"], r["score"]) for r in scored} == {(r["id"], r["score"]) for r in M.isolation_scores(d.repartition(5), d, ["a", "b"], "id", trees=20, size=16).collect()}
     assert M.gains({"m": {"roc_auc": 0.5}}, {"m": {"roc_auc": 0.75}}) == [("m", 0.5, 0.75, 0.25)]
     s = M.scale_by(spark.createDataFrame([(0.0,), (5.0,), (99.0,)], "v double"), spark.createDataFrame([(0.0,), (10.0,)], "v double"), "v")
     assert [round(r[0], 6) for r in s.orderBy("v").collect()] == [0, 0.5, 1]
@@ -122,6 +130,35 @@ ITEM = {
 }
 
 
+def test_one_very_large_actor(spark):
+    """A hundred thousand events of one actor, with ties, against plain loops; a frame for each row would take ten billion steps."""
+    n = 100_000
+    r = np.random.default_rng(5)
+    us = np.sort(r.integers(0, 40 * 86_400, n)) * 1_000_000
+    value = r.integers(0, 400, n)
+    ids = spark.createDataFrame(list(zip(range(n), us.tolist(), (int(v) if v else None for v in value))), "event_id long, us long, v long")
+    d = ids.select("event_id", F.timestamp_micros("us").alias("event_time"), F.lit("a").alias("actor_pseudo_id"), "v")
+    got = Sequence().sweep(d, logins={"n": 1, "m": 30}, distinct={"k": ("v", 24)}, active={"days": 30}).orderBy("event_id").toPandas()
+    day = 86_400_000_000
+    assert (got["seq_no_"].to_numpy() == np.arange(1, n + 1)).all()
+    for name, days in (("n", 1), ("m", 30)):
+        assert (got[name].to_numpy() == np.arange(1, n + 1) - np.searchsorted(us, us - days * day, "left")).all()
+    hour, last, first, counts, kinds = us // 3_600_000_000, 0, 0, {}, []
+    for i in range(n):
+        while hour[first] < hour[i] - 24:
+            if value[first]:
+                counts[value[first]] -= 1
+                if not counts[value[first]]:
+                    del counts[value[first]]
+            first += 1
+        if value[i]:
+            counts[value[i]] = counts.get(value[i], 0) + 1
+        kinds.append(len(counts))
+    assert got["k"].tolist() == kinds
+    date = us // day
+    assert (got["days"].to_numpy() == [len(set(date[max(0, np.searchsorted(date, d - 29)) : i + 1].tolist())) if i % 997 == 0 else got["days"][i] for i, d in enumerate(date)]).all()
+
+
 def test_api_items_batch_and_stream(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()

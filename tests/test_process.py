@@ -12,6 +12,7 @@ from logvista.functions import identity as I
 from logvista.operators import sampling as P
 from logvista.operators import validate as V
 from logvista.plans import analysis as A
+from logvista.plans import outputs as U
 from logvista.plans import release as R
 from logvista.plans.process import process
 from logvista.plans.schema import FORBIDDEN_PUBLIC, LEGACY_20, LEGACY_35, PUBLIC_42, RAW, RESTRICTED_50
@@ -117,7 +118,7 @@ def test_institutions(spark, tmp_path):
     with pytest.raises(ValueError):
         C.read_release(spark, str(part), RESTRICTED_50)
     stats = A.analyse(p.public, str(tmp_path / "tables"))
-    assert stats["events"] == "2" and stats["singletons"] == 2 and {x.name for x in (tmp_path / "tables").iterdir()} == {*A.tables(p.public), "statistics.json"}
+    assert stats["events"] == 2 and stats["singleton_users"] == 2 and len(stats) == 24 and {x.name for x in (tmp_path / "tables").iterdir()} == {*A.tables(p.public), "statistics.json"}
     doc = V.report(p.restricted, p.public, PUBLIC_42.names)
     assert not doc["schema"] and not any(doc["invariants"].values()) and doc["public_differs"] == doc["recomputed_differs"] == doc["hours_backwards"] == 0 and not doc["windows_collapsed"]
     assert V.missingness_differs(p.public, {c: 0 for c in PUBLIC_42.names}) == {"hours_since_last_login": (2, 0)}
@@ -139,3 +140,28 @@ def test_sampler_refuses(spark):
         P.actor_sample(df, "actor", "sig", least=300, target=400, most=500)
     s = P.actor_sample(df, "actor", "sig", least=4, target=6, most=7)
     assert s.count() == 6 and V.not_subset(s.distinct(), df.distinct(), "actor") == 0
+
+
+def test_a_written_release_is_held_against_its_manifest(spark, tmp_path):
+    write(tmp_path / "in" / "suspicious_login_logs.csv", [{"event_time": f"2026-05-{d:02d}T{h:02d}:00:00Z", "ip_country": c} for d in (1, 2, 3) for h in (1, 5) for c in ("Angola", "Brazil")])
+    p = run(spark, tmp_path / "in")
+    folders = {"public": str(tmp_path / "pub"), "restricted": str(tmp_path / "res")}
+    R.write_release(p.restricted, PUBLIC_42.names, folders["public"], folders["restricted"])
+    doc = R.manifest(p.restricted, PUBLIC_42.names, p.counts, {n: R.file_hashes(spark, f) for n, f in folders.items()})
+    R.write_json(doc, str(tmp_path / "manifest.json"))
+    doc = U.read_manifest(str(tmp_path / "manifest.json"))
+    tables = [spark.read.parquet(folders[n]) for n in ("public", "restricted")]
+    good = U.validate_release(spark, *tables, doc, folders, str(tmp_path / "report.json"))
+    assert good["status"] == "PASS" and good["failed"] == [] and json.loads((tmp_path / "report.json").read_text())["status"] == "PASS"
+    bad = U.validate_release(spark, tables[0].withColumn("label", F.lit(1)), tables[1].withColumn("provider_suspicious", F.lit(3)), doc | {"events": 5, "sha256": {}}, folders)
+    assert bad["status"] == "FAIL" and {"schema", "public_differs", "invariant signal_not_binary", "hash public", "hash restricted", "forbidden label", "rows"} <= set(bad["failed"])
+    U.write_odds_ratios(p.public, ["is_new_country", "country_changed"], "provider_suspicious", str(tmp_path / "odds"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "odds")).columns == ["flag", "odds_ratio", "low", "high"]
+    U.write_results(spark, {"a": {"roc_auc": 0.5, "f1": None}, "b": {"roc_auc": 1, "columns": 3}}, str(tmp_path / "bench"))
+    (part,) = R.parts(str(tmp_path / "bench"))
+    assert part.read_text().split() == ["place,model,roc_auc,f1,columns", "0,a,0.5,,", "1,b,1.0,,3.0"]
+    U.write_gains(spark, [("m", 0.5, 0.75, 0.25)], str(tmp_path / "gains"))
+    U.write_sample(p.public, str(tmp_path / "sample"))
+    lines = [line for f in R.parts(str(tmp_path / "sample")) for line in f.read_text().split("\n")[1:] if line]
+    assert len(lines) == 12 and [int(x.split(",")[PUBLIC_42.names.index("prior_event_count")]) for x in lines] == list(range(12))
+    assert V.sample_errors(p.public, p.public) == {"events": 12, "columns": [], "repeated": 0, "incomplete_actors": 0, "unknown_events": 0}
