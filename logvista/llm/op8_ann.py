@@ -25,6 +25,8 @@ from .shared import Workspace, read_table
 
 #: Deviations of the estimate's error that a vector is given the benefit of; rows of a block of vectors and of queries, at most.
 ERROR, VECTORS, QUERIES = 3.0, 4096, 512
+#: Far more than the error of an inner product of unit vectors in single precision.
+ROUNDING = np.float32(1e-3)
 #: Bytes of the vectors of a block, and of those whose exact scores are computed at once, about.
 BYTES = 1 << 21
 _BLOCK = "dim int, n int, ids binary, vectors binary, codes binary, scalars binary"
@@ -114,6 +116,8 @@ def search_block(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarra
     among = estimate + bound >= bar[:, None]
     among[rows, start] = True
     among &= ~own
+    # Reranking: of the chosen vectors, single precision leaves out what lies clearly below the bar, the rest is scored exactly.
+    among &= _units(q) @ _units(x).T >= bar[:, None].astype(np.float32) - ROUNDING
     qi, xi = np.nonzero(among)
     exact = _exact(q, x, qi, xi)
     order = np.lexsort((ids[xi], -exact, qi))
