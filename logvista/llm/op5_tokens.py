@@ -23,8 +23,8 @@ from .shared import Workspace, read_table
 
 #: A block is closed after the document with which it reaches so many ids.
 BLOCK = 1 << 18
-#: Bytes of text tokenised at once.
-TEXT_BYTES = 1 << 20
+#: Bytes of text tokenised at once, and in one task, about.
+TEXT_BYTES, PART = 1 << 20, 1 << 24
 
 
 def _tokenise(path: str, end_id: int):
@@ -137,7 +137,8 @@ class TokenFiles:
         spark = docs.sparkSession
         work = Workspace(spark, "tokens")
         own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        size = own.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
+        parts = max(spark.sparkContext.defaultParallelism, -(-size // PART))
         own = own.repartitionByRange(parts, "id").sortWithinPartitions("id")
         plain = work.keep(own.mapInArrow(_tokenise(tokenizer or bpe.default_path(), end_id), "part int, id long, at long, width int, ids binary"), "plain", compression="zstd")
         counts = plain.select("width", "ids").mapInArrow(_count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()  # a row for each id of the vocabulary
