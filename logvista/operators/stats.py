@@ -92,9 +92,25 @@ def mann_whitney(df: DataFrame, value: str, group: str) -> DataFrame:
     return r.select("n1", "n0", (F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2).alias("u"), "tie_term")
 
 
+def _u_counts(few: int, many: int) -> list[int]:
+    """In how many orders of two samples without ties U is 0, 1, … few * many."""
+    out = [1] + [0] * (few * many)
+    for i in range(1, few + 1):
+        for j in range(len(out) - 1, many + i - 1, -1):
+            out[j] -= out[j - many - i]
+        for j in range(i, len(out)):
+            out[j] += out[j - i]
+    return out
+
+
 def mann_whitney_p(n1: int, n0: int, u: float, tie_term: float) -> float:
-    """Two-sided, by the normal approximation with ties and continuity."""
+    """Two-sided: exact without ties if a sample has at most eight rows (and the other is not huge), else by the normal
+    approximation with ties and continuity."""
     n = n1 + n0
+    few, many = sorted((n1, n0))
+    if 0 < few <= 8 and tie_term == 0 and few * many <= 1_000_000:
+        counts = _u_counts(few, many)
+        return min(1.0, 2 * sum(counts[math.ceil(max(u, n1 * n0 - u)) :]) / math.comb(n, few))
     var = n1 * n0 / 12 * (n + 1 - tie_term / (n * (n - 1))) if n > 1 else 0
     if var <= 0:
         return 1.0

@@ -43,6 +43,12 @@ def write_sample(sample: DataFrame, path: str) -> None:
     P.in_sample_order(sample).orderBy("position").select(*columns).write.mode("overwrite").options(header=True, nullValue="", emptyValue="").csv(path)
 
 
+def written_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """A written restricted release (Parquet) with ``line``, the place of each row over all its parts."""
+    back = spark.read.parquet(folder).select("event_time", "event_id", F.col("_metadata.file_name").alias("file_"), F.monotonically_increasing_id().alias("at_"))
+    return P.number_rows(back, [F.col("file_"), F.col("at_")], "line")
+
+
 def read_manifest(path: str) -> dict:
     return json.loads(Path(path).read_text(encoding="utf-8"))
 
@@ -55,7 +61,8 @@ def validate_release(spark: SparkSession, public: DataFrame, restricted: DataFra
     """
     report = V.report(restricted, public, manifest["public_columns"])
     found = {name: file_hashes(spark, folder) for name, folder in folders.items()}
-    failed = [k for k in ("schema",) if report[k]] + [k for k in ("public_differs", "recomputed_differs", "hours_backwards") if report[k]]
+    report["out_of_order"] = V.out_of_order(written_lines(spark, folders["restricted"]), "line") if "restricted" in folders else None
+    failed = [k for k in ("schema",) if report[k]] + [k for k in ("public_differs", "recomputed_differs", "hours_backwards", "out_of_order") if report[k]]
     failed += [f"invariant {k}" for k, n in report["invariants"].items() if n]
     failed += [f"hash {name}" for name, files in found.items() if manifest["sha256"].get(name) != files]
     failed += [f"forbidden {c}" for c in V.forbidden(public, FORBIDDEN_PUBLIC)]

@@ -42,6 +42,8 @@ def test_p_values():
     z, p, trend = T.mann_kendall_p(45, 125.0)
     assert trend == "increasing" and p < 0.001 and z > 0
     assert T.mann_kendall_p(0, 125.0)[2] == "no trend"
+    assert abs(T.mann_whitney_p(3, 4, 12, 0) - 2 / 35) < 1e-12 and T.mann_whitney_p(3, 4, 6, 0) == 1 and abs(T.mann_whitney_p(2, 5, 0, 0) - 2 / 21) < 1e-12
+    assert 0 < T.mann_whitney_p(3, 4, 12, 6) < 1 and 0 < T.mann_whitney_p(20, 30, 400, 0) < 0.1
 
 
 def test_odds_ratios(spark):
