@@ -192,6 +192,7 @@ def _components(own: DataFrame, work: Workspace, k: int, percent: int, bands: in
     rows_ = texts_of.select("id", F.explode("bands").alias("key"))
     sizes = work.keep(rows_.groupBy("key").agg(F.count("*").alias("n_")).where("n_ > 1"), "sizes")
     hot = hot_keys(sizes, ["key"], work, counts=sizes)
+    rows_ = work.keep(likely(rows_, sizes, "key"), "keys")  # most buckets have one text and are met by none of these
     shared = work.keep(join_split(rows_, sizes.withColumnRenamed("n_", "size"), ["key"], work, hot=hot), "buckets")  # buckets of several texts only
     degree = shared.groupBy("id").agg(F.sum("size").alias("degree"))
     shared = work.keep(shared.select("id", "key").join(degree, "id"), "degrees")

@@ -139,13 +139,13 @@ def join_split(left: DataFrame, right: DataFrame, key: list[str], work: Workspac
     return left.join(frequent, key).unionByName(left.join(hot, key, "left_anti").join(right, key))
 
 
-def likely(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows whose id may be among ``wanted``: all that are, and few others while ``wanted`` is not much larger than the map.
+def likely(rows: DataFrame, wanted: DataFrame, column: str = "id") -> DataFrame:
+    """Rows whose ``column`` may be among that of ``wanted``: all that are, and few others while ``wanted`` is not much larger than the map.
 
-    The map of hashed ids is broadcast in pieces of 4 KB; MAP_BITS bounds it.
+    The map of hashed values is broadcast in pieces of 4 KB; MAP_BITS bounds it.
     """
     bits = min(MAP_BITS, max(1 << 15, 1 << (16 * wanted.count()).bit_length()))
-    place = F.pmod(F.xxhash64("id"), F.lit(bits)) + 1
+    place = F.pmod(F.xxhash64(column), F.lit(bits)) + 1
     maps = wanted.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("map"))
     bit = F.bitmap_bit_position(place)
     byte = F.conv(F.hex(F.substring("map", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
