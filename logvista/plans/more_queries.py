@@ -279,7 +279,7 @@ def sample_checks(spark, sf):
     part = e.where("actor_pseudo_id % 10 = 3 and event_id % 50 <> 1")
     plant = spark.createDataFrame([(-1, -1)], e.schema).union(part.orderBy("event_id").limit(1))
     found = V.sample_errors(e, part.union(plant).withColumn("history_available", F.lit(0)))
-    return spark.createDataFrame([(len(v) if isinstance(v, list) else v for v in found.values())], "events long, wrong_columns long, repeated long, incomplete_actors long, unknown_events long")
+    return spark.createDataFrame([tuple(len(v) if isinstance(v, list) else v for v in found.values())], "events long, wrong_columns long, repeated long, incomplete_actors long, unknown_events long")
 
 
 # --- releases
