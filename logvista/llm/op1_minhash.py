@@ -35,6 +35,8 @@ FINE = 4096
 BLOCK, TEXTS = 4096, 500
 #: Rounds of pivots at most; what they leave is compared in full.
 ROUNDS = 8
+#: Rows of a few numbers that one task takes in its stride (some megabytes): a bucket or component of fewer is not set apart.
+NARROW = 100_000
 
 
 def signatures(shingle_hashes: np.ndarray, bounds: np.ndarray, n: int) -> np.ndarray:
@@ -171,7 +173,7 @@ def _components(own: DataFrame, work: Workspace, k: int, percent: int, bands: in
     """Of (row, id, text), (row, id, n, first): ``first`` is the component's smallest (id, row), null for what can't be linked.
 
     Wherever rows meet by a key that many may share (a word sequence, a bucket, a component), ``join_split`` keeps frequent
-    keys out of the shuffle.
+    keys out of the shuffle; for rows of a few numbers that takes ``NARROW`` of one key to be worth the passes.
     """
     pair_schema = "a long, b long"
     sketch = work.keep(
@@ -191,7 +193,7 @@ def _components(own: DataFrame, work: Workspace, k: int, percent: int, bands: in
     texts_of = placed.where("bands is not null").select(F.col("row").alias("id"), "n", "bands", "bits")
     rows_ = texts_of.select("id", F.explode("bands").alias("key"))
     sizes = work.keep(rows_.groupBy("key").agg(F.count("*").alias("n_")).where("n_ > 1"), "sizes")
-    hot = hot_keys(sizes, ["key"], work, counts=sizes)
+    hot = hot_keys(sizes, ["key"], work, least=NARROW, counts=sizes)
     rows_ = work.keep(likely(rows_, sizes, "key"), "keys")  # most buckets have one text and are met by none of these
     shared = work.keep(join_split(rows_, sizes.withColumnRenamed("n_", "size"), ["key"], work, hot=hot), "buckets")  # buckets of several texts only
     degree = shared.groupBy("id").agg(F.sum("size").alias("degree"))
@@ -221,10 +223,10 @@ def _components(own: DataFrame, work: Workspace, k: int, percent: int, bands: in
     tried, links, placed, last, open_ids = none, none, shared.withColumn("root", F.col("id")), None, 0
     for _ in range(ROUNDS):
         top = F.struct("degree", "id", "root")
-        left = placed if last is None else join_split(placed, last, ["key"], work).where(F.struct("degree", "id") < F.struct("top.degree", "top.id")).drop("top")
+        left = placed if last is None else join_split(placed, last, ["key"], work, least=NARROW).where(F.struct("degree", "id") < F.struct("top.degree", "top.id")).drop("top")
         pivots = work.keep(left.groupBy("key").agg(F.max(top).alias("top")), "pivots")
         last = pivots if last is None else work.keep(pivots.unionByName(last.join(pivots, "key", "left_anti")), "last")
-        pairs = join_split(placed, pivots, ["key"], work).where(F.col("root") != F.col("top.root"))
+        pairs = join_split(placed, pivots, ["key"], work, least=NARROW).where(F.col("root") != F.col("top.root"))
         pairs = pairs.select(F.least("id", "top.id").alias("a"), F.greatest("id", "top.id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
         pairs = work.keep(pairs, "proposed")
         tried = work.keep(tried.unionByName(pairs), "tried")
@@ -239,7 +241,7 @@ def _components(own: DataFrame, work: Workspace, k: int, percent: int, bands: in
         placed = work.keep(placed, "rooted")
         open_ = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.ceil(F.count("*") / BLOCK).alias("blocks")).where("r0 < r1")
         open_ = work.keep(open_.select("key", "blocks"), "open")
-        placed = work.keep(join_split(placed, open_, ["key"], work), "open")
+        placed = work.keep(join_split(placed, open_, ["key"], work, least=NARROW), "open")
         unsettled = work.keep(placed.select("id").distinct(), "unsettled")
         open_ids = unsettled.count()
         if found * 50 < open_ids or not open_ids:
@@ -266,7 +268,7 @@ def _components(own: DataFrame, work: Workspace, k: int, percent: int, bands: in
             roots = work.keep(connected_components(links.union(more), work), "roots")
     firsts = members.where("row = rep.row").select(F.col("row").alias("node"), "rep")
     firsts = work.keep(roots.join(firsts, "node").groupBy("root").agg(F.min("rep").alias("first")), "firsts")
-    linked = work.keep(join_split(roots, firsts, ["root"], work).select("node", "first"), "linked")
+    linked = work.keep(join_split(roots, firsts, ["root"], work, least=NARROW).select("node", "first"), "linked")
     single = members.select(F.col("rep.row").alias("node")).distinct().join(linked, "node", "left_anti").select("node", F.lit(None).cast(linked.schema["first"].dataType).alias("first"))
     every = work.keep(linked.unionByName(single), "every")
     out = join_split(members.withColumn("node", F.col("rep.row")), every, ["node"], work)

@@ -100,9 +100,9 @@ def test_large_groups_and_buckets_in_blocks(spark, monkeypatch):
     s = sets(every, 5)
     want = components(s)
     monkeypatch.setattr(N, "BLOCK", 3)
-    few = lambda left, key, work, counts=None: hot_keys(left, key, work, 30, 2, counts)
+    few = lambda left, key, work, least=0, counts=None: hot_keys(left, key, work, 30, 2, counts)
     monkeypatch.setattr(N, "hot_keys", few)
-    monkeypatch.setattr(N, "join_split", lambda left, right, key, work, hot="count": join_split(left, right, key, work, hot=few(left, key, work) if isinstance(hot, str) else hot))
+    monkeypatch.setattr(N, "join_split", lambda left, right, key, work, least=0, hot="count": join_split(left, right, key, work, hot=few(left, key, work) if isinstance(hot, str) else hot))
     got = {r["doc_id"]: r["component_id"] for r in N.near_duplicates(d).collect()}
     assert got == dict(enumerate(want)) and 4 < len(set(want)) < 90
 
