@@ -124,7 +124,7 @@ class Sequence:
         - more: any other columns over windows, made before.
         """
         logins, distinct, active, running = logins or {}, distinct or {}, active or {}, running or {}
-        d = df.withColumns({"us_": self.us, "hour_": self.hour})
+        d = df.repartition(F.col(self.actor)).withColumns({"us_": self.us, "hour_": self.hour})  # the one exchange, which all windows share
         if tokens:
             d = self._with_tokens(d, tokens[0], tokens[1], tokens[2])
         made: dict[str, Column] = dict(more or {})
