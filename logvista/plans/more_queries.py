@@ -131,7 +131,7 @@ def scalar_cleaning(spark, sf):
     number = F.when(i % 3 == 0, " -8,5").when(i % 3 == 1, F.replace((i / 4).cast("string"), F.lit("."), F.lit(","))).otherwise("1,2,3")
     return events(spark, sf).select(
         "event_id", S.parse_time(pick(_TIMES, 5)).cast("timestamp_ntz").alias("time"), S.decimal(number).alias("number"), S.country(pick(("The Netherlands", "Other Netherlands", None), 3)).alias("country"),
-        S.known_history(ES.hours_since_last()).alias("known_history"), S.geo_jump((i % 2).cast("int"), F.when(i % 3 == 0, 1).otherwise(0)).alias("geo_jump"),
+        S.known_history(ES.us_since_last()).alias("known_history"), S.geo_jump((i % 2).cast("int"), F.when(i % 3 == 0, 1).otherwise(0)).alias("geo_jump"),
     )
 
 

@@ -58,6 +58,16 @@ def test_odds_ratios(spark):
     assert s[0]["name"] == "const" and abs(s[1]["odds_ratio"] - 8 * 7 / 6) < 1e-4
 
 
+def test_known_history_after_a_moment(spark, tmp_path):
+    from logvista.plans import queries as Q
+
+    rows = [(0, 0), (1, 0), (2, 1), (3, 58_871), (4, 258_871), (5, 4_000_000_000)]  # microseconds: none, the same instant, then later ones
+    d = spark.createDataFrame(rows, "event_id long, us long").select("event_id", F.timestamp_micros("us").cast("timestamp_ntz").alias("ts"), F.lit(1).cast("long").alias("user_id"), F.lit("view").alias("event_type"), F.lit(1.0).alias("value"), F.lit('{"k": 1}').alias("props"))
+    d.write.parquet(f"{tmp_path}/events.parquet")
+    got = {r["event_id"]: r["known_history"] for r in Q.queries()["scalar_cleaning"](spark, str(tmp_path)).collect()}
+    assert got == {0: 0, 1: 0, 2: 1, 3: 1, 4: 1, 5: 1}
+
+
 def test_gini_of_nothing_and_some(spark):
     c = spark.createDataFrame([(i, x) for i, x in enumerate([1, 1, 2, 5, 5, 9])], "actor int, event_count long")
     x = sorted([1, 1, 2, 5, 5, 9])
