@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+from array import array
+from collections import OrderedDict
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .windows import HOUR_US, Sequence
 
+#: Windows that are found a second way, and their hours.
+SPANS = (("24h", 24), ("7d", 168), ("30d", 720))
+
 
 def require(bad: dict[str, int]) -> None:
     if broken := {k: v for k, v in bad.items() if v}:
@@ -117,34 +126,66 @@ def nonnull_counts(df: DataFrame) -> DataFrame:
     return df.agg(*(F.count(c).alias(c) for c in df.columns))
 
 
+def _walk(actor: str, ties: tuple[str, ...], names: list[str]):
+    """Of rows in the order of actor, time and ties: their numbers, found by going from event to event. Numbers are kept across batches."""
+    spans = [h for _, h in SPANS]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        who = None
+        for batch in batches:
+            out = {n: [] for n in names}
+            for a, us, network, country in zip(*(batch.column(c).to_pylist() for c in (actor, "us_", "actor_network_id", "ip_country")), strict=True):
+                if a != who:
+                    who, n, first, last, networks, countries = a, 0, None, None, set(), set()
+                    times, starts, recent = array("q"), [0] * len(spans), [OrderedDict() for _ in spans]
+                new = network is not None and network not in networks
+                if network is not None:
+                    networks.add(network)
+                if country is not None:
+                    countries.add(country)
+                first = us if first is None else first
+                row = [n, None if us is None or last is None else us - last, None if us is None else us - first]
+                if us is None:  # before all others, and in no window
+                    row += [0] * (2 * len(spans))
+                else:
+                    last, hour = us, us // HOUR_US
+                    times.append(us)
+                    for i, (span, held) in enumerate(zip(spans, recent, strict=True)):
+                        while us - times[starts[i]] > span * HOUR_US:
+                            starts[i] += 1
+                        if country is not None:
+                            held[country] = hour
+                            held.move_to_end(country)
+                        while held and hour - held[oldest := next(iter(held))] > span:
+                            del held[oldest]
+                        row += [len(times) - starts[i], len(held)]
+                    if (gone := min(starts)) > 10_000 and 2 * gone > len(times):
+                        del times[:gone]
+                        starts = [x - gone for x in starts]
+                row += [len(networks), len(countries), None if network is None else int(new)]
+                n += 1
+                for x, v in zip(out.values(), row, strict=True):
+                    x.append(v)
+            arrays = [pa.array(v, pa.int32() if k == "is_new_ip" else pa.int64()) for k, v in out.items()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (actor, *ties)), *arrays], names=[actor, *ties, *names])
+
+    return run
+
+
 def recompute(df: DataFrame, s: Sequence | None = None) -> DataFrame:
-    """Twelve features a second way, by joining each event with its actor's earlier ones; compare by event id.
+    """Twelve features a second way, by walking through each actor's events; compare by event id.
 
-    A different algorithm on purpose: no frames, no collected sets. Quadratic in an actor's events, so it is a check and
-    not a path.
+    A different algorithm on purpose: no frames, no sums over entries and exits. One pass over sorted rows, whose cost does not
+    depend on how many events a window holds; what is kept are one actor's times of a month and distinct networks and countries.
+    Events without actor have no row.
     """
     s = s or Sequence()
-    base = df.select(s.actor, *s.ties, s.time, "actor_network_id", "ip_country", "continent", "login_type").withColumn("us_", s.us)
-    key = F.struct("us_", *s.ties)
-    now = base.select(*base.columns, key.alias("k_"))
-    was = now.select(*(F.col(c).alias(f"p_{c}") for c in now.columns))
-    pair = now.join(was, (F.col(s.actor) == F.col(f"p_{s.actor}")) & (F.col("p_k_") <= F.col("k_")))
-    age = F.col("us_") - F.col("p_us_")
-    hours = F.floor(F.col("us_") / HOUR_US) - F.floor(F.col("p_us_") / HOUR_US)
-    self_ = F.col("p_k_") == F.col("k_")
-    before = F.when(~self_, F.col("p_us_"))
-    agg = [
-        (F.count("*") - 1).alias("prior_event_count"), F.bround((F.first("us_") - F.max(before)) / HOUR_US, 4).alias("hours_since_last_login"),
-        F.bround((F.first("us_") - F.min("p_us_")) / HOUR_US, 4).alias("hours_since_first_observed_login"),
-    ]
-    for name, n in (("24h", 24), ("7d", 168), ("30d", 720)):
-        agg.append(F.count_if(age <= n * HOUR_US).alias(f"logins_{name}"))
-        agg.append(F.countDistinct(F.when(hours <= n, F.col("p_ip_country"))).alias(f"distinct_countries_{name}"))
-    agg.append(F.countDistinct("p_actor_network_id").alias("networks_seen_to_date"))
-    agg.append(F.countDistinct("p_ip_country").alias("distinct_countries_to_date"))
-    first_seen = F.min(F.when(F.col("p_actor_network_id") == F.col("actor_network_id"), F.col("p_k_")))
-    agg.append(F.when(F.first("actor_network_id").isNotNull(), (first_seen == F.first("k_")).cast("int")).alias("is_new_ip"))
-    return pair.groupBy(s.actor, *s.ties).agg(*agg)
+    base = df.where(F.col(s.actor).isNotNull()).select(s.actor, *s.ties, s.us.alias("us_"), "actor_network_id", "ip_country")
+    names = ["prior_event_count", "since_last_", "since_first_", *(f"{x}_{k}" for k, _ in SPANS for x in ("logins", "distinct_countries")), "networks_seen_to_date", "distinct_countries_to_date", "is_new_ip"]
+    schema = T.StructType([*(base.schema[c] for c in (s.actor, *s.ties)), *(T.StructField(n, T.IntegerType() if n == "is_new_ip" else T.LongType()) for n in names)])
+    walked = base.repartition(s.actor).sortWithinPartitions(s.actor, "us_", *s.ties).mapInArrow(_walk(s.actor, s.ties, names), schema)
+    hours = {"since_last_": "hours_since_last_login", "since_first_": "hours_since_first_observed_login"}
+    return walked.select(s.actor, *s.ties, *(F.bround(F.col(n) / HOUR_US, 4).alias(hours[n]) if n in hours else F.col(n) for n in names))
 
 
 def minimum(df: DataFrame, rows: int, columns: int) -> list[str]:

@@ -68,6 +68,56 @@ def test_known_history_after_a_moment(spark, tmp_path):
     assert got == {0: 0, 1: 0, 2: 1, 3: 1, 4: 1, 5: 1}
 
 
+def test_recompute_by_brute_force(spark):
+    r = random.Random(11)
+    hour = 3_600_000_000
+    rows = []
+    for i in range(300):
+        us = None if r.random() < 0.05 else r.choice([r.randrange(1600) * hour, r.randrange(1600 * hour)])
+        rows.append((f"e{r.randrange(10**6):06d}{i}", r.choice("abcde") if i % 50 else None, us, r.choice([None, "n1", "n2", "n3"]), r.choice([None, "A", "B", "C", "D"])))
+    d = spark.createDataFrame(rows, "event_id string, actor_pseudo_id string, us long, actor_network_id string, ip_country string").withColumn("event_time", F.timestamp_micros("us"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)  # an actor's events come in many batches
+    try:
+        again = V.recompute(d)
+        assert "Join" not in again._jdf.queryExecution().optimizedPlan().toString()
+        got = {x["event_id"]: x.asDict() for x in again.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len(got) == sum(x[1] is not None for x in rows)
+    key = lambda x: (x[2] is not None, x[2] or 0, x[0])
+    for e in rows:
+        if e[1] is None:
+            continue
+        past = [x for x in rows if x[1] == e[1] and key(x) <= key(e)]
+        known = [x for x in past if x[2] is not None and e[2] is not None]
+        want = {
+            "event_id": e[0], "actor_pseudo_id": e[1], "prior_event_count": len(past) - 1,
+            "hours_since_last_login": round((e[2] - max(x[2] for x in known if x is not e)) / hour, 4) if known[1:] else None,
+            "hours_since_first_observed_login": round((e[2] - min(x[2] for x in known)) / hour, 4) if known else None,
+            "networks_seen_to_date": len({x[3] for x in past} - {None}), "distinct_countries_to_date": len({x[4] for x in past} - {None}),
+            "is_new_ip": None if e[3] is None else int(all(x[3] != e[3] for x in past if x is not e)),
+        }
+        for name, n in (("24h", 24), ("7d", 168), ("30d", 720)):
+            want[f"logins_{name}"] = sum(e[2] - x[2] <= n * hour for x in known)
+            want[f"distinct_countries_{name}"] = len({x[4] for x in known if e[2] // hour - x[2] // hour <= n} - {None})
+        assert {k: v for k, v in got[e[0]].items() if k[:5] != "hours"} == {k: v for k, v in want.items() if k[:5] != "hours"}
+        for k in ("hours_since_last_login", "hours_since_first_observed_login"):
+            assert (got[e[0]][k] is None) == (want[k] is None) and (want[k] is None or abs(got[e[0]][k] - want[k]) < 1.1e-4)
+
+
+def test_recompute_of_one_busy_actor(spark):
+    step, n = 600_000_000, 30_000  # every ten minutes; a join of all earlier events would have 450 million rows
+    i = F.col("id")
+    d = spark.range(n).select(F.format_string("e%06d", i).alias("event_id"), F.lit("a").alias("actor_pseudo_id"), F.timestamp_micros(i * step).alias("event_time"), (i % 9).cast("string").alias("actor_network_id"), F.when(i < 10, "A").otherwise("B").alias("ip_country"))
+    got = V.recompute(d).orderBy("event_id").toPandas()
+    for name, days in (("24h", 1), ("7d", 7), ("30d", 30)):
+        assert (got[f"logins_{name}"] == np.minimum(np.arange(n) + 1, days * 144 + 1)).all()
+        at = np.arange(n) // 6
+        assert (got[f"distinct_countries_{name}"] == 1 + ((np.arange(n) >= 10) & (at - 1 <= days * 24))).all()
+    assert got["is_new_ip"].sum() == 9 and (got["prior_event_count"] == np.arange(n)).all()
+
+
 def test_gini_of_nothing_and_some(spark):
     c = spark.createDataFrame([(i, x) for i, x in enumerate([1, 1, 2, 5, 5, 9])], "actor int, event_count long")
     x = sorted([1, 1, 2, 5, 5, 9])
