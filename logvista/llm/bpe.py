@@ -19,6 +19,7 @@ from functools import lru_cache
 import numpy as np
 
 from . import textbytes as tb
+from .shared import CACHES
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
@@ -140,6 +141,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+CACHES["encoder"] = encoder.cache_clear
+
+
 def with_end(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """The same, with ``end_id`` after each text."""
     return np.insert(ids, bounds[1:], end_id), bounds + np.arange(len(bounds))

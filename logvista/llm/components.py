@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Workspace
+from .shared import Workspace, lean
 
 #: Links that one task contracts.
 LINKS = 2_000_000
@@ -53,7 +53,7 @@ def connected_components(edges: DataFrame, work: Workspace, most: int = LINKS) -
     links = edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     links = work.keep(links, "links")
     tasks = -(-links.count() // most)
-    now = work.keep(links.coalesce(max(1, tasks)).mapInArrow(_contract, "u long, v long"), "stars")
+    now = work.keep(links.coalesce(max(1, tasks)).mapInArrow(lean(_contract), "u long, v long"), "stars")
     if tasks > 1:
         now = _stars(now, work)
     root = now.select(F.col("u").alias("node"), F.col("v").alias("root"))

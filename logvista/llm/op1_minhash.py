@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import textbytes as tb
 from .components import connected_components
-from .shared import SLICE_BYTES, Workspace, free_name, hot_keys, join_split, likely, read_table
+from .shared import SLICE_BYTES, Workspace, free_name, hot_keys, join_split, lean, likely, read_table
 
 #: Bands and rows of each: a pair at similarity 0.8 is missed with probability (1 - 0.8^7)^64, which is 3e-7.
 BANDS, ROWS = 64, 7
@@ -177,7 +177,7 @@ def _components(own: DataFrame, work: Workspace, k: int, percent: int, bands: in
     """
     pair_schema = "a long, b long"
     sketch = work.keep(
-        own.mapInArrow(_sketch(k, bands, rows), "row long, id long, n long, s1 long, s2 long, bands array<long>, bits array<long>"), "sketch"
+        own.mapInArrow(lean(_sketch(k, bands, rows)), "row long, id long, n long, s1 long, s2 long, bands array<long>, bits array<long>"), "sketch"
     )
     full = "n > 0 and id is not null"
     first = work.keep(sketch.where(full).groupBy("s1", "s2").agg(F.min(F.struct("id", "row")).alias("rep")), "first")
@@ -215,7 +215,7 @@ def _components(own: DataFrame, work: Workspace, k: int, percent: int, bands: in
 
     def settled(p: DataFrame, name: str) -> DataFrame:
         two = paired(p, lambda x: texts.select(F.col("id").alias(x), F.col("text").alias(f"text_{x}")))
-        return work.keep(two.select("a", "b", "text_a", "text_b").mapInArrow(_settle(k, percent, 100), pair_schema), name)
+        return work.keep(two.select("a", "b", "text_a", "text_b").mapInArrow(lean(_settle(k, percent, 100)), pair_schema), name)
 
     # Each round compares the members of a bucket with one pivot that is not yet connected with them: the text that has most
     # neighbours in all its buckets, then the next one, so that the same few texts are pivots of most buckets.
@@ -250,7 +250,7 @@ def _components(own: DataFrame, work: Workspace, k: int, percent: int, bands: in
     if open_ids:
         about = texts_of.select("id", "n", F.transform("bands", lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("marks"), "bands")
         tasks = max(1, -(-open_ids // TEXTS))
-        fine = texts.join(unsettled, "id").repartition(tasks, "id").mapInArrow(_fine(k), "id long, fine array<long>")
+        fine = texts.join(unsettled, "id").repartition(tasks, "id").mapInArrow(lean(_fine(k)), "id long, fine array<long>")
         about = work.keep(about.join(fine, "id"), "sketches")
         placed = placed.drop("degree").join(about, "id").withColumn("nth", F.array_position("bands", F.col("key"))).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
         placed = work.keep(placed.drop("bands"), "open")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from . import bpe
 from . import textbytes as tb
-from .shared import Workspace, read_table
+from .shared import Workspace, lean, read_table
 
 TEXT_BYTES = 1 << 20
 #: Pieces of one length that are ranked in one task, about.
@@ -105,7 +105,7 @@ def pack(
     spark = docs.sparkSession
     work = Workspace(spark, "pack")
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    pieces = work.keep(own.mapInArrow(_pieces(tokenizer or bpe.default_path(), end_id, size), "id long, piece int, start long, length long, ids_crc32 long"), "pieces")
+    pieces = work.keep(own.mapInArrow(lean(_pieces(tokenizer or bpe.default_path(), end_id, size), "encoder"), "id long, piece int, start long, length long, ids_crc32 long"), "pieces")
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most ``size`` rows
     runs = [(a, b, b + n, *rest) for a, b, n, *rest in plan(histogram, size)]
     slots = spark.createDataFrame(runs, "length long, from_ long, to_ long, first_ long, each_ long, at_ long") if runs else None

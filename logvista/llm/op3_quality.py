@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .shared import read_table
+from .shared import lean, read_table
 
 #: Labelled rows that are learned from, at most: those with the smallest hash of their id.
 SAMPLE = 20_000
@@ -218,7 +218,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = known.where(~is_held_out(F.col("id"))).groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(sample)
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     own = own.join(F.broadcast(known), "id").groupBy("id", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
-    rows = own.mapInArrow(_rows(None), "id long, y double, out array<double>")  # ``sample`` rows at most
+    rows = own.mapInArrow(lean(_rows(None)), "id long, y double, out array<double>")  # ``sample`` rows at most
     got = rows.orderBy("id").toPandas()
     x = np.array(got["out"].tolist(), np.float64).reshape(-1, len(FEATURES))
     return fit(x, got["y"].to_numpy())
@@ -230,7 +230,7 @@ def classify(docs: DataFrame, model: Additive, id_col: str = "doc_id", text_col:
     Repeated rows get a row each; a row without id is not held out. Other columns are not read; an empty table gives no rows.
     """
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    scored = own.mapInArrow(_rows(model), "id long, out double")
+    scored = own.mapInArrow(lean(_rows(model)), "id long, out double")
     return scored.select(F.col("id").alias(id_col), is_held_out(F.col("id")).alias("held_out"), F.col("out").alias("score"), (F.col("out") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -245,7 +245,7 @@ def keep_good(docs: DataFrame, model: Additive, text_col: str = "text") -> DataF
             for at, to, data, bounds in tb.slices(batch, text_col, 1 << 20):
                 yield batch.slice(at, to - at).filter(pa.array(model.score(measures(data, bounds)) >= 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +41,47 @@ def _hadoop_path(spark: SparkSession, path: str):
     return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+#: What a Python worker remembers from task to task, by name: how to forget it.
+CACHES: dict[str, Callable[[], None]] = {}
+
+
+@lru_cache(maxsize=1)
+def _trim():
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)  # of the GNU library only
+
+
+def give_back(keep: str = "") -> None:
+    """Forgets all ``CACHES`` but ``keep``, and returns to the system what Arrow and the C library hold of freed memory."""
+    for name, forget in CACHES.items():
+        if name != keep:
+            forget()
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
+def lean(run: Run, keep: str = "") -> Run:
+    """``run`` for mapInArrow, giving back memory at the start, after each batch and at the end.
+
+    Workers outlive their tasks and share their executor's limit: what one keeps is missing in all later steps.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def fed() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch
+                batch = None
+                give_back(keep)
+
+        give_back(keep)
+        try:
+            yield from run(fed())
+        finally:
+            give_back(keep)
+
+    return whole
+
+
 class Workspace:
     """Tables written to the shared folder and read back, which cuts lineage and survives lost executors.
 

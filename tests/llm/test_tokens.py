@@ -1,6 +1,9 @@
 """Tokens, files and packing against the library on whole texts."""
 
+import os
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -160,3 +163,35 @@ def test_packed_documents(docs, empty, ids):
     lengths = [64] * sum((len(x) - 1) // 64 for x in [*ids, ids[5]]) + [(len(x) - 1) % 64 + 1 for x in [*ids, ids[5]]]
     assert len(places) == best_fit(lengths, 64)
     assert P.pack(empty).count() == 0
+
+
+_HELD = """
+import numpy as np, pyarrow as pa
+from logvista.llm import bpe, op1_minhash, op2_packing
+from logvista.llm.shared import lean
+
+def batches():
+    r = np.random.default_rng(1)
+    for _ in range(3):
+        text = r.integers(97, 123, (10_000, 1000)).astype(np.uint8)
+        text[:, ::8] = 32
+        yield pa.RecordBatch.from_arrays([pa.array(range(10_000)), pa.array(range(10_000)), pa.array([x.tobytes().decode() for x in text])], names=["row", "id", "text"])
+
+def mb():
+    return sum(int(x.split()[1]) for x in open("/proc/self/smaps_rollup") if x.startswith(("Pss_Anon", "Pss_Shmem"))) / 1024
+
+before = mb()
+sum(x.num_rows for x in lean(op2_packing._pieces(bpe.default_path(), 2, 1024), "encoder")(batches()))
+assert bpe.encoder.cache_info().currsize == 1  # for the next task of the step
+sum(x.num_rows for x in lean(op1_minhash._sketch(5, 64, 7))(batches()))
+assert bpe.encoder.cache_info().currsize == 0
+print(mb() - before)
+"""
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"), reason="memory can't be read here")
+def test_workers_give_memory_back():
+    """A worker that made pieces and then sketches of 30 MB of text keeps little."""
+    out = subprocess.run([sys.executable, "-c", _HELD], capture_output=True, text=True, cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert float(out.stdout.split()[-1]) < 150
